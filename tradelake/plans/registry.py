@@ -227,3 +227,322 @@ def q_hourly_whale_summary(spark, sf):
 @register("mart_whale_trades", W(WT, "select * from mart_whale_trades"))
 def q_mart_whale_trades(spark, sf):
     return whale_mart(spark, sf)
+
+
+# ---- serving --------------------------------------------------------------------
+
+from tradelake.plans import serving as S  # noqa: E402
+from tradelake.sources.adapters import EVENT_SYMBOLS  # noqa: E402
+
+PANEL_SYMBOL = "CLICK"     # the symbol the single-symbol panels show
+PANEL_CANDLES = 120        # default panel length (candles)
+
+
+def _xs(col, scale, over=""):
+    o = f" over {over}" if over else ""
+    return f"cast(sum(cast({col} as decimal(38,{scale}))){o} as double)"
+
+
+EV = O.merge_ctes(O.vwap_ctes(), O.volatility_ctes())
+RECENT_SQL = "traded_at desc, symbol asc, trade_id asc"
+
+
+@register("overview", W(O.silver_ctes(), f"""
+  select symbol, count(*) as total_trades,
+         round(min(price), 2) as price_min, round(max(price), 2) as price_max,
+         round({_xs('price', 10)} / nullif(count(price), 0), 2) as price_avg,
+         round({_xs('volume_usd', 6)} / 1e6, 2) as total_volume_m,
+         min(traded_at) as first_trade, max(traded_at) as last_trade
+  from stg_trades group by symbol order by total_volume_m desc, symbol"""))
+def q_overview(spark, sf):
+    return S.overview(events_stg(spark, sf))
+
+
+@register("kpi", W(O.candle_ctes(), f"""
+  select symbol, last_price, first_price, high_24h, low_24h, volume_m, last_vwap,
+         (last_price - first_price) / nullif(first_price, 0) * 100.0 as pct_change
+  from (select symbol,
+               last(close order by candle_time) as last_price,
+               first(close order by candle_time) as first_price,
+               max(high) as high_24h, min(low) as low_24h,
+               round({_xs('volume_usd', 2)} / 1e6, 2) as volume_m,
+               last(vwap order by candle_time) as last_vwap
+        from candles group by symbol)"""))
+def q_kpi(spark, sf):
+    return S.kpi(events_candles(spark, sf))
+
+
+@register("last_candles", W(O.candle_ctes(), f"""
+  select candle_time, open, high, low, close, volume_usd, vwap, volume_delta,
+         buy_volume, sell_volume, close >= open as is_bull
+  from candles where symbol = '{PANEL_SYMBOL}'
+  order by candle_time desc limit {PANEL_CANDLES}"""))
+def q_last_candles(spark, sf):
+    return S.last_candles(events_candles(spark, sf), PANEL_SYMBOL, PANEL_CANDLES)
+
+
+@register("candle_shape", W(O.candle_ctes(), """
+  select symbol, candle_time, close >= open as is_bull, abs(close - open) as body,
+         least(open, close) as body_base
+  from candles"""))
+def q_candle_shape(spark, sf):
+    return S.candle_shape(events_candles(spark, sf))
+
+
+@register("bollinger_panel", W(EV, f"""
+  select candle_time, close, sma_20, bb_upper, bb_lower, pct_b, realized_vol_pct, bb_bandwidth
+  from mart_volatility where symbol = '{PANEL_SYMBOL}'
+  order by candle_time desc limit {PANEL_CANDLES}"""))
+def q_bollinger_panel(spark, sf):
+    return S.bollinger_panel(volatility_mart(spark, sf), PANEL_SYMBOL, PANEL_CANDLES)
+
+
+@register("vwap_deviation_split", W(EV, f"""
+  select candle_time, close, vwap_30min, vwap_60min, price_vs_vwap, hourly_vwap,
+         case when price_vs_vwap > 0 then price_vs_vwap when price_vs_vwap is not null then 0.0 end as above_vwap,
+         case when price_vs_vwap < 0 then price_vs_vwap when price_vs_vwap is not null then 0.0 end as below_vwap
+  from mart_vwap where symbol = '{PANEL_SYMBOL}'
+  order by candle_time desc limit {PANEL_CANDLES}"""))
+def q_vwap_deviation_split(spark, sf):
+    return S.vwap_deviation_split(vwap_mart(spark, sf), PANEL_SYMBOL, PANEL_CANDLES)
+
+
+@register("vwap_last30", W(EV, f"""
+  select candle_time, vwap_30min, close from mart_vwap where symbol = '{PANEL_SYMBOL}'
+  order by candle_time desc limit 30"""))
+def q_vwap_last30(spark, sf):
+    return S.vwap_last30(vwap_mart(spark, sf), PANEL_SYMBOL)
+
+
+@register("whales_recent", W(WT, f"""
+  select traded_at, symbol, trade_id, price, volume_usd, side, whale_tier, pct_of_hour_volume, rank_in_hour
+  from mart_whale_trades where volume_usd >= 100000.0
+  order by {RECENT_SQL} limit 100"""))
+def q_whales_recent(spark, sf):
+    return S.whales_recent(whale_mart(spark, sf), 100_000.0, 100)
+
+
+@register("top_whales", W(WT, f"""
+  select symbol, traded_at, price, volume_usd, side from mart_whale_trades
+  order by volume_usd desc, {RECENT_SQL} limit 5"""))
+def q_top_whales(spark, sf):
+    return S.top_whales(whale_mart(spark, sf), 5)
+
+
+@register("top10_recent_whales", W(WT, f"""
+  select traded_at, symbol, trade_id, price, volume_usd, side, whale_tier, pct_of_hour_volume
+  from (select * from mart_whale_trades order by {RECENT_SQL} limit 200)
+  order by volume_usd desc, {RECENT_SQL} limit 10"""))
+def q_top10_recent_whales(spark, sf):
+    return S.top10_recent_whales(whale_mart(spark, sf), 200, 10)
+
+
+@register("whale_tier_crosstab", W(WT, f"""
+  select t.whale_tier, t.tier_order,
+         coalesce(c.BUY, 0) as BUY, coalesce(c.SELL, 0) as SELL
+  from (values ('small', 0), ('medium', 1), ('large', 2), ('mega', 3)) t(whale_tier, tier_order)
+  left join (select whale_tier, count(*) filter (where side = 'BUY') as BUY,
+                    count(*) filter (where side = 'SELL') as SELL
+             from (select * from mart_whale_trades order by {RECENT_SQL} limit 200)
+             group by whale_tier) c
+  on t.whale_tier = c.whale_tier"""))
+def q_whale_tier_crosstab(spark, sf):
+    return S.whale_tier_crosstab(spark, whale_mart(spark, sf), 200)
+
+
+VOL_COMPARE_SQL = """(select symbol, candle_time, realized_vol_pct, annualized_vol, close
+   from mart_volatility order by candle_time desc, symbol asc limit 360)"""
+
+
+@register("vol_compare", W(EV, f"select * from {VOL_COMPARE_SQL}"))
+def q_vol_compare(spark, sf):
+    return S.vol_compare(volatility_mart(spark, sf), 360)
+
+
+@register("normalized_price", W(EV, f"""
+  select symbol, candle_time, close,
+         close / first_value(close) over (partition by symbol order by candle_time) * 100.0 as normalized_price
+  from {VOL_COMPARE_SQL}"""))
+def q_normalized_price(spark, sf):
+    return S.normalized_price(volatility_mart(spark, sf), 360)
+
+
+@register("vol_compare_per_symbol", W(EV, """
+  select symbol, candle_time, realized_vol_pct, annualized_vol, close from (
+    select *, row_number() over (partition by symbol order by candle_time desc) as rn
+    from mart_volatility) where rn <= 120"""))
+def q_vol_compare_per_symbol(spark, sf):
+    return S.vol_compare_per_symbol(volatility_mart(spark, sf), 120)
+
+
+BUY_PRESSURE_SQL = f"""
+  select symbol, date_trunc('hour', traded_at) as hour,
+         round({_xs("case when side = 'BUY' then volume_usd end", 6)}
+               / nullif({_xs('volume_usd', 6)}, 0) * 100, 1) as buy_pct
+  from stg_trades group by 1, 2"""
+
+
+@register("buy_pressure", W(O.silver_ctes(), BUY_PRESSURE_SQL))
+def q_buy_pressure(spark, sf):
+    return S.buy_pressure(events_stg(spark, sf))
+
+
+@register("buy_pressure_pivot", W(O.silver_ctes() + [("bp", BUY_PRESSURE_SQL)],
+                                  "select hour, " + ", ".join(
+                                      f"max(case when symbol = '{s}' then buy_pct end) as {s}"
+                                      for s in EVENT_SYMBOLS) + " from bp group by hour"))
+def q_buy_pressure_pivot(spark, sf):
+    return S.buy_pressure_pivot(events_stg(spark, sf), EVENT_SYMBOLS)
+
+
+@register("hourly_volatility", W(EV, f"""
+  select symbol, date_trunc('hour', candle_time) as hour,
+         round({_xs('realized_vol_pct', 6)} / nullif(count(realized_vol_pct), 0), 6) as volatility_pct,
+         round({_xs('annualized_vol', 6)} / nullif(count(annualized_vol), 0), 6) as annualized_vol_pct
+  from mart_volatility group by 1, 2"""))
+def q_hourly_volatility(spark, sf):
+    return S.hourly_volatility(volatility_mart(spark, sf))
+
+
+@register("pct_b_signal", W(EV, """
+  select symbol, candle_time, close, pct_b,
+         case when pct_b > 1 then 'overbought' when pct_b < 0 then 'oversold'
+              when pct_b is not null then 'neutral' end as signal
+  from mart_volatility"""))
+def q_pct_b_signal(spark, sf):
+    return S.pct_b_signal(volatility_mart(spark, sf))
+
+
+# ---- data quality ------------------------------------------------------------------
+
+from tradelake.functions import REFERENCE_SYMBOLS, SIDES, TIER_ORDER  # noqa: E402
+from tradelake.operators import quality as Q  # noqa: E402
+
+DQ_CHECKS = {
+    # table: (columns that must be non-NULL)
+    "bronze_trades": ["trade_id", "symbol", "price", "quantity", "timestamp", "ingested_at"],
+    "stg_trades": ["trade_id", "symbol", "price", "quantity", "volume_usd", "side", "traded_at", "ingested_at"],
+    "stg_ohlcv_1min": ["symbol", "candle_time", "open", "high", "low", "close", "volume_usd", "vwap", "volume_delta"],
+    "mart_vwap": ["symbol", "candle_time", "vwap_30min", "vwap_60min", "price_vs_vwap"],
+    "mart_volatility": ["symbol", "candle_time"],
+    "mart_whale_trades": ["trade_id", "symbol", "traded_at", "volume_usd"],
+}
+DQ_SQL_TABLE = {"bronze_trades": "bronze", "stg_trades": "stg_trades", "stg_ohlcv_1min": "candles",
+                "mart_vwap": "mart_vwap", "mart_volatility": "mart_volatility",
+                "mart_whale_trades": "l_mart_whale_trades"}
+DQ_CTES = O.merge_ctes(EV, O.whale_ctes(WHALE_THRESHOLD, p="l_"))
+
+
+def _dq_tables(spark, sf):
+    bronze = event_trades(spark, sf)
+    stg = stg_trades(bronze)
+    candles = ohlcv(stg)
+    return {"bronze_trades": bronze, "stg_trades": stg, "stg_ohlcv_1min": candles,
+            "mart_vwap": vwap.mart_vwap(candles), "mart_volatility": vol.mart_volatility(candles),
+            "mart_whale_trades": whale_mart(spark, sf)}
+
+
+def _not_null_sql():
+    parts = []
+    for table, cols in DQ_CHECKS.items():
+        src = DQ_SQL_TABLE[table]
+        sel = ", ".join(f"count(*) filter (where \"{c}\" is null) as \"{c}\"" for c in cols)
+        unp = " union all ".join(
+            f"select '{table}' as table_name, '{c}' as column_name, cast(\"{c}\" as bigint) as failures from t_{table}"
+            for c in cols)
+        parts.append((f"t_{table}", f"select {sel} from {src}"))
+        parts.append((f"u_{table}", unp))
+    final = " union all ".join(
+        f"select *, case when failures = 0 then 'pass' else 'fail' end as status from u_{t}" for t in DQ_CHECKS)
+    return W(DQ_CTES + parts, final)
+
+
+@register("dq_not_null", _not_null_sql())
+def q_dq_not_null(spark, sf):
+    t = _dq_tables(spark, sf)
+    return Q.union_all([Q.not_null(t[name], name, cols) for name, cols in DQ_CHECKS.items()])
+
+
+@register("dq_unique", W(O.merge_ctes(O.silver_ctes("lineitem", p="l_")), """
+  select 'bronze_trades' as table_name, 'symbol,trade_id' as key_columns,
+         concat_ws('|', symbol, cast(trade_id as varchar)) as key_value, count(*) as n
+  from l_bronze group by symbol, trade_id having count(*) > 1
+  union all
+  select 'stg_trades', 'symbol,trade_id', concat_ws('|', symbol, cast(trade_id as varchar)), count(*)
+  from l_stg_trades group by symbol, trade_id having count(*) > 1
+  union all
+  select 'stg_trades', 'trade_id', cast(trade_id as varchar), count(*)
+  from l_stg_trades group by trade_id having count(*) > 1"""))
+def q_dq_unique(spark, sf):
+    bronze = lineitem_trades(spark, sf)
+    stg = stg_trades(bronze)
+    return Q.union_all([
+        Q.unique(bronze, "bronze_trades", ["symbol", "trade_id"]),
+        Q.unique(stg, "stg_trades", ["symbol", "trade_id"]),
+        Q.unique(stg, "stg_trades", ["trade_id"]),   # the id-only form; ids repeat across symbols
+    ])
+
+
+def _in_list(values):
+    return ", ".join(f"'{v}'" for v in values)
+
+
+@register("dq_accepted_values", W(O.merge_ctes(O.silver_ctes(), O.whale_ctes(WHALE_THRESHOLD, p="l_")), f"""
+  select 'stg_trades' as table_name, 'symbol' as column_name, cast(symbol as varchar) as value, count(*) as n
+  from stg_trades where symbol not in ({_in_list(REFERENCE_SYMBOLS)}) group by symbol
+  union all
+  select 'stg_trades', 'side', side, count(*) from stg_trades
+  where side not in ({_in_list(SIDES)}) group by side
+  union all
+  select 'mart_whale_trades', 'whale_tier', whale_tier, count(*) from l_mart_whale_trades
+  where whale_tier not in ({_in_list(TIER_ORDER)}) group by whale_tier"""))
+def q_dq_accepted_values(spark, sf):
+    stg = events_stg(spark, sf)
+    return Q.union_all([
+        Q.accepted_values(stg, "stg_trades", "symbol", REFERENCE_SYMBOLS),
+        Q.accepted_values(stg, "stg_trades", "side", SIDES),
+        Q.accepted_values(whale_mart(spark, sf), "mart_whale_trades", "whale_tier", TIER_ORDER),
+    ])
+
+
+FRESHNESS_AS_OF = "2024-01-31 00:00:00"
+
+
+@register("dq_freshness", W(O.silver_ctes(), f"""
+  select 'bronze_trades' as table_name, symbol, max_loaded_at, as_of, age_minutes,
+         case when age_minutes > 30 then 'error' when age_minutes > 10 then 'warn' else 'pass' end as status
+  from (select symbol, max(try_cast(ingested_at as timestamp)) as max_loaded_at,
+               timestamp '{FRESHNESS_AS_OF}' as as_of,
+               (epoch_us(timestamp '{FRESHNESS_AS_OF}') - epoch_us(max(try_cast(ingested_at as timestamp)))) / 60e6 as age_minutes
+        from bronze group by symbol)"""))
+def q_dq_freshness(spark, sf):
+    bronze = event_trades(spark, sf)
+    return Q.freshness(bronze, "bronze_trades", F.col("ingested_at").try_cast("timestamp"),
+                       F.lit(FRESHNESS_AS_OF).cast("timestamp"), by=["symbol"])
+
+
+@register("dq_range", W(O.merge_ctes(O.silver_ctes(), O.whale_ctes(WHALE_THRESHOLD, p="l_")), f"""
+  select 'stg_trades' as table_name, check_name, failures,
+         case when failures = 0 then 'pass' else 'fail' end as status
+  from (select 'price_positive' as check_name, count(*) filter (where not (price > 0)) as failures from stg_trades
+        union all
+        select 'quantity_positive', count(*) filter (where not (quantity > 0)) from stg_trades)
+  union all
+  select 'bronze_trades', check_name, failures, case when failures = 0 then 'pass' else 'fail' end
+  from (select 'price_positive' as check_name, count(*) filter (where not (price > 0)) as failures from bronze
+        union all
+        select 'quantity_positive', count(*) filter (where not (quantity > 0)) from bronze)
+  union all
+  select 'mart_whale_trades', 'volume_at_least_threshold', failures,
+         case when failures = 0 then 'pass' else 'fail' end
+  from (select count(*) filter (where not (volume_usd >= {WHALE_THRESHOLD})) as failures from l_mart_whale_trades)"""))
+def q_dq_range(spark, sf):
+    bronze = event_trades(spark, sf)
+    stg = stg_trades(bronze)
+    positive = {"price_positive": F.col("price") > 0, "quantity_positive": F.col("quantity") > 0}
+    return Q.union_all([
+        Q.range_check(stg, "stg_trades", positive),
+        Q.range_check(bronze, "bronze_trades", positive),
+        Q.range_check(whale_mart(spark, sf), "mart_whale_trades",
+                      {"volume_at_least_threshold": F.col("volume_usd") >= F.lit(WHALE_THRESHOLD)}),
+    ])
