@@ -546,3 +546,103 @@ def q_dq_range(spark, sf):
         Q.range_check(whale_mart(spark, sf), "mart_whale_trades",
                       {"volume_at_least_threshold": F.col("volume_usd") >= F.lit(WHALE_THRESHOLD)}),
     ])
+
+
+# ---- ingest: raw frames, Kafka framing, bronze storage ---------------------------
+
+from tradelake.sources import bronze as B  # noqa: E402
+from tradelake.sources import raw as R  # noqa: E402
+from tradelake.sources.kafka import kafka_envelope  # noqa: E402
+from tradelake.sources.tables import write_table  # noqa: E402
+from tradelake.session import new_scratch_path  # noqa: E402
+
+BROKEN_SYMBOLS = ["ERROR"]     # frames of these symbols are cut short (reject path)
+
+
+def event_frames(spark, sf):
+    return R.frames_from_trades(event_trades(spark, sf), BROKEN_SYMBOLS)
+
+
+ARRIVAL_ISO = "strftime(make_timestamp(\"timestamp\" * 1000), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
+
+
+@register("parse_raw_trades", W(O.silver_ctes(), f"""
+  select event_type, symbol, trade_id, price, quantity, volume_usd, side, is_buyer, "timestamp",
+         {ARRIVAL_ISO} as ingested_at
+  from bronze where symbol not in ('ERROR')"""))
+def q_parse_raw_trades(spark, sf):
+    return R.parse_raw_trades(event_frames(spark, sf))
+
+
+@register("parse_rejects", W(O.silver_ctes(), """
+  select 'malformed_json' as reject_reason, count(*) as n from bronze where symbol in ('ERROR')"""))
+def q_parse_rejects(spark, sf):
+    return R.reject_counts(R.parse_rejects(event_frames(spark, sf)))
+
+
+@register("kafka_envelope", W(O.silver_ctes(), """
+  select lower(symbol) || '_trades' as topic, cast(trade_id as varchar) as key,
+         to_json({'event_type': event_type, 'symbol': symbol, 'trade_id': trade_id, 'price': price,
+                  'quantity': quantity, 'volume_usd': volume_usd, 'side': side, 'is_buyer': is_buyer,
+                  'timestamp': "timestamp", 'ingested_at': ingested_at}) as value
+  from bronze"""))
+def q_kafka_envelope(spark, sf):
+    return kafka_envelope(event_trades(spark, sf))
+
+
+def written_bronze(spark, sf):
+    path = new_scratch_path(spark, "bronze")
+    B.write_bronze(event_trades(spark, sf), path)
+    return path
+
+
+BRONZE_DIRS_SQL = """
+  select *, strftime(make_timestamp("timestamp" * 1000), '%Y') as year,
+         strftime(make_timestamp("timestamp" * 1000), '%m') as month,
+         strftime(make_timestamp("timestamp" * 1000), '%d') as day
+  from bronze"""
+BRONZE_CTES = O.silver_ctes() + [("bronze_dirs", BRONZE_DIRS_SQL)]
+
+
+@register("bronze_roundtrip", W(BRONZE_CTES, "select * from bronze_dirs"))
+def q_bronze_roundtrip(spark, sf):
+    return B.read_bronze(spark, written_bronze(spark, sf))
+
+
+@register("bronze_scan", W(BRONZE_CTES, "select * from bronze_dirs"))
+def q_bronze_scan(spark, sf):
+    B.bronze_view(spark, written_bronze(spark, sf), "trades")
+    return spark.sql("SELECT * FROM trades")
+
+
+PRUNE_SYMBOL, PRUNE_DAY = "CLICK", "2024-01-15"
+
+
+@register("bronze_partition_prune", W(BRONZE_CTES, f"""
+  select * from bronze_dirs where symbol = '{PRUNE_SYMBOL}'
+  and year || '-' || month || '-' || day = '{PRUNE_DAY}'"""))
+def q_bronze_partition_prune(spark, sf):
+    return B.read_bronze(spark, written_bronze(spark, sf)).where(B.day_filter(PRUNE_SYMBOL, PRUNE_DAY))
+
+
+@register("bronze_sample", W(BRONZE_CTES, """
+  select * from bronze_dirs order by symbol, year, month, day, trade_id limit 5"""))
+def q_bronze_sample(spark, sf):
+    return (B.read_bronze(spark, written_bronze(spark, sf))
+            .orderBy("symbol", "year", "month", "day", "trade_id").limit(5))
+
+
+@register("bronze_compact", W(BRONZE_CTES, "select * from bronze_dirs"))
+def q_bronze_compact(spark, sf):
+    return B.compact_bronze(spark, written_bronze(spark, sf), new_scratch_path(spark, "bronze_compact"))
+
+
+@register("multi_source_union", W(O.merge_ctes(O.silver_ctes(), O.silver_ctes("lineitem", p="l_")),
+                                  "select * from bronze union all select * from l_bronze"))
+def q_multi_source_union(spark, sf):
+    return event_trades(spark, sf).unionByName(lineitem_trades(spark, sf))
+
+
+@register("gold_roundtrip", W(O.vwap_ctes(), "select * from mart_vwap"))
+def q_gold_roundtrip(spark, sf):
+    return write_table(spark, vwap_mart(spark, sf), "gold", "mart_vwap", partition_by=["symbol"])
