@@ -41,6 +41,10 @@ def clean_trades(deduped: DataFrame) -> DataFrame:
     """Typed projection + validity filter (price > 0, quantity > 0, keys set)."""
     price = F.col("price").cast("double")
     qty = F.col("quantity").cast("double")
+    # A stream derives traded_at before its watermark; keep that column so
+    # the event-time watermark stays attached to it.
+    traded_at = (F.col("traded_at") if "traded_at" in deduped.columns
+                 else F.timestamp_millis(F.col("timestamp").cast("long")))
     out = deduped.select(
         F.col("trade_id").cast("long").alias("trade_id"),
         F.col("symbol").cast("string").alias("symbol"),
@@ -49,7 +53,7 @@ def clean_trades(deduped: DataFrame) -> DataFrame:
         round_half_away(price * qty, 6).alias("volume_usd"),
         F.col("side").cast("string").alias("side"),
         F.col("is_buyer").cast("boolean").alias("is_buyer"),
-        F.timestamp_millis(F.col("timestamp").cast("long")).alias("traded_at"),
+        traded_at.alias("traded_at"),
         F.col("timestamp").cast("long").alias("timestamp_ms"),
         F.col("ingested_at").try_cast("timestamp").alias("ingested_at"),
     )

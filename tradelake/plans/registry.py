@@ -646,3 +646,50 @@ def q_multi_source_union(spark, sf):
 @register("gold_roundtrip", W(O.vwap_ctes(), "select * from mart_vwap"))
 def q_gold_roundtrip(spark, sf):
     return write_table(spark, vwap_mart(spark, sf), "gold", "mart_vwap", partition_by=["symbol"])
+
+
+# ---- streaming (availableNow runs over files; the sink is read back) ---------------
+
+from tradelake.streaming import pipeline as P  # noqa: E402
+
+STREAM_WATERMARK = "10 minutes"
+REPLAY_WATERMARK = "31 days"     # replays are re-read up to a month later
+
+
+@register("stream_ohlcv", W(O.candle_ctes(), f"""
+  select * from candles
+  where candle_time + interval 1 minute
+        <= (select max(make_timestamp("timestamp" * 1000)) from bronze) - interval {STREAM_WATERMARK}"""),
+          note="append mode: candles whose window ends after the final watermark are still open")
+def q_stream_ohlcv(spark, sf):
+    src, out, ck = (new_scratch_path(spark, n) for n in ("stream_src", "stream_ohlcv", "stream_ohlcv_ck"))
+    event_trades(spark, sf).write.parquet(src)
+    q = P.write_append(P.stream_candles(P.stream_trades(P.bronze_stream(spark, src), STREAM_WATERMARK)),
+                       out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*ohlcv(events_stg(spark, sf)).columns)
+
+
+def replays(trades):
+    """Copies of the BUY trades re-delivered an hour after first ingestion."""
+    later = F.date_format(F.to_timestamp("ingested_at") + F.expr("INTERVAL 1 HOUR"),
+                          "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return (trades.where(F.col("side") == F.lit("BUY"))
+            .withColumn("ingested_at", F.concat(later, F.lit("+00:00"))))
+
+
+@register("stream_dedup", W(O.silver_ctes(), "select * from stg_trades"),
+          note="originals in a first run, replays after a restart from the checkpoint")
+def q_stream_dedup(spark, sf):
+    src, out, ck = (new_scratch_path(spark, n) for n in ("dedup_src", "stream_dedup", "stream_dedup_ck"))
+    trades = event_trades(spark, sf)
+    trades.write.parquet(src)
+
+    def run():
+        q = P.write_append(P.stream_trades(P.bronze_stream(spark, src), REPLAY_WATERMARK), out, ck)
+        q.awaitTermination()
+
+    run()
+    replays(trades).write.mode("append").parquet(src)
+    run()                                   # restart: only the replay files are new
+    return spark.read.parquet(out).select(*events_stg(spark, sf).columns)

@@ -1,0 +1,131 @@
+"""Streaming jobs.  The transforms are the batch operators; only the source,
+the watermark and the sink differ.
+
+* ``bronze_ingest``   raw frames -> bronze Parquet + dead-letter Parquet
+                      (``foreachBatch``; one parse per batch, two sinks);
+* ``stream_trades``   bronze file stream -> deduplicated, cleaned trades
+                      (watermark + ``dropDuplicatesWithinWatermark``);
+* ``stream_candles``  trades -> OHLCV per event-time window (append: a
+                      candle is emitted once the watermark passes its end);
+* ``whale_alerts``    stateless filter of large trades;
+* ``whale_context_batch``  per micro-batch join of new whales to the current
+                      hourly market table (static side re-read each batch).
+
+Batch dedup keeps the least ``ingested_at``; the stream keeps the first
+arrival.  They agree whenever copies arrive in ingestion order.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradelake.functions.expressions import DEFAULT_WHALE_THRESHOLD
+from tradelake.operators.candles import candle_aggs
+from tradelake.operators.silver import DEDUP_KEYS, clean_trades
+from tradelake.operators.whales import whale_filter
+from tradelake.schema import BRONZE_COLUMNS, BRONZE_READ_SCHEMA, OHLCV_COLUMNS
+from tradelake.sources.bronze import write_bronze
+from tradelake.sources.raw import parse_with_rejects
+
+# Flush policy of the ingest (rows per flush, seconds per flush).
+FLUSH_ROWS = 500
+FLUSH_SECONDS = 30
+
+
+def frame_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Raw frames from text files (one JSON frame per line); arrival = now."""
+    r = spark.readStream.format("text")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path).select("value", F.current_timestamp().alias("timestamp"))
+
+
+def bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    r = spark.readStream.schema(BRONZE_READ_SCHEMA).format("parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path).select(*BRONZE_COLUMNS)
+
+
+def _ingest_batch(bronze_path: str, rejects_path: str):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_with_rejects(batch).persist()
+        try:
+            good = parsed.where(F.col("reject_reason").isNull()).select(*BRONZE_COLUMNS)
+            write_bronze(good, bronze_path)
+            (parsed.where(F.col("reject_reason").isNotNull())
+             .select("raw", "reject_reason", "ingested_at", F.lit(batch_id).alias("batch_id"))
+             .write.mode("append").parquet(rejects_path))
+        finally:
+            parsed.unpersist()
+    return run
+
+
+def bronze_ingest(frames: DataFrame, bronze_path: str, rejects_path: str, checkpoint: str,
+                  processing_time: str | None = f"{FLUSH_SECONDS} seconds", available_now: bool = False):
+    """Start the frames -> bronze query.  Delivery is at-least-once per batch
+    (a batch replayed after a crash may append again); silver dedup removes
+    such copies, as it removes broker replays."""
+    w = frames.writeStream.foreachBatch(_ingest_batch(bronze_path, rejects_path)).option(
+        "checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def stream_trades(bronze: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """Deduplicated, typed, valid trades with an event-time watermark."""
+    with_time = bronze.withColumn("traded_at", F.timestamp_millis(F.col("timestamp").cast("long")))
+    deduped = (with_time.withWatermark("traded_at", watermark)
+               .dropDuplicatesWithinWatermark(DEDUP_KEYS))
+    return clean_trades(deduped)
+
+
+def stream_candles(trades: DataFrame, interval: str = "1 minute") -> DataFrame:
+    win = F.window("traded_at", interval)
+    return (trades.groupBy(F.col("symbol"), win.alias("w")).agg(*candle_aggs())
+            .withColumn("candle_time", F.col("w.start")).select(*OHLCV_COLUMNS))
+
+
+def stream_hourly(candles: DataFrame) -> DataFrame:
+    """Hourly roll-up chained on the minute candles' event time."""
+    from tradelake.functions import round_half_away, safe_div, xsum
+    return (candles.withWatermark("candle_time", "0 seconds")
+            .groupBy("symbol", F.window("candle_time", "1 hour").alias("w"))
+            .agg(round_half_away(safe_div(xsum("volume_usd", 2), xsum("volume", 8)), 6).alias("vwap"),
+                 round_half_away(xsum("volume_usd", 2), 2).alias("total_volume_usd"),
+                 F.sum("trade_count").alias("trade_count"))
+            .select("symbol", F.col("w.start").alias("hour"), "vwap", "total_volume_usd", "trade_count"))
+
+
+def whale_alerts(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD) -> DataFrame:
+    return whale_filter(trades, threshold).select("symbol", "trade_id", "traded_at", "side",
+                                                  "price", "volume_usd")
+
+
+def write_append(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                 partition_by: list[str] | None = None):
+    """File sink: exactly-once files through the sink's own commit log."""
+    w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start(path)
+
+
+def whale_context_batch(hourly_market_path: str, out_path: str,
+                        threshold: float = DEFAULT_WHALE_THRESHOLD):
+    """``foreachBatch`` body: join the batch's whales to the hourly table as
+    it is now (re-read each batch, so it sees the latest rebuild)."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        hm = spark.read.parquet(hourly_market_path)
+        w = whale_filter(batch, threshold).withColumn("hour", F.date_trunc("hour", "traded_at"))
+        (w.join(hm, ["symbol", "hour"], "left")
+         .withColumn("batch_id", F.lit(batch_id))
+         .write.mode("append").parquet(out_path))
+    return run
