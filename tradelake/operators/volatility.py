@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.functions import round_half_away, safe_div
-from tradelake.operators.rolling import rolling, running_sum
+from tradelake.operators.rolling import DEFAULT_BLOCK_ROWS, rolling, running_sum
 from tradelake.schema import MART_VOLATILITY_COLUMNS
 
 # Fixed value: minutes per year used to annualise 1-minute volatility.
@@ -31,9 +31,10 @@ def _with_returns(r_frame: DataFrame, spec) -> DataFrame:
     })
 
 
-def volatility_frame(candles: DataFrame, strategy: str = "blocked") -> DataFrame:
+def volatility_frame(candles: DataFrame, strategy: str = "blocked",
+                     block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Every indicator column, before the mart's first-row filter."""
-    r = rolling(candles, ["symbol"], "candle_time", halo=20, strategy=strategy)
+    r = rolling(candles, ["symbol"], "candle_time", halo=20, strategy=strategy, block_rows=block_rows)
     f = _with_returns(r.frame, r.spec)
     w20, w14 = r.spec.rowsBetween(-19, 0), r.spec.rowsBetween(-13, 0)
     f = f.withColumns({

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.functions import round_half_away, safe_div, xsum, xsum_over
-from tradelake.operators.rolling import rolling
+from tradelake.operators.rolling import DEFAULT_BLOCK_ROWS, rolling
 from tradelake.schema import MART_VWAP_COLUMNS
 
 
@@ -24,9 +24,10 @@ def hourly_vwap(candles: DataFrame) -> DataFrame:
                  round_half_away(F.max("high") - F.min("low"), 6).alias("price_range")))
 
 
-def rolling_vwap(candles: DataFrame, strategy: str = "blocked") -> DataFrame:
+def rolling_vwap(candles: DataFrame, strategy: str = "blocked",
+                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """VWAP over the last 30 and 60 candles (row frames: gaps are not filled)."""
-    r = rolling(candles, ["symbol"], "candle_time", halo=59, strategy=strategy)
+    r = rolling(candles, ["symbol"], "candle_time", halo=59, strategy=strategy, block_rows=block_rows)
     w30, w60 = r.spec.rowsBetween(-29, 0), r.spec.rowsBetween(-59, 0)
     # Candle USD volumes carry 2 decimals and volumes 8: exact window sums.
     v30 = safe_div(xsum_over("volume_usd", 2, w30), xsum_over("volume", 8, w30))

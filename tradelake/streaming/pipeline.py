@@ -84,21 +84,26 @@ def stream_trades(bronze: DataFrame, watermark: str = "10 minutes") -> DataFrame
     return clean_trades(deduped)
 
 
-def stream_candles(trades: DataFrame, interval: str = "1 minute") -> DataFrame:
+def stream_candles(trades: DataFrame, interval: str = "1 minute", keep_window: bool = False) -> DataFrame:
+    """Candles per event-time window.  ``keep_window`` keeps the window struct
+    ``w`` so a coarser aggregation can chain on its event time."""
     win = F.window("traded_at", interval)
-    return (trades.groupBy(F.col("symbol"), win.alias("w")).agg(*candle_aggs())
-            .withColumn("candle_time", F.col("w.start")).select(*OHLCV_COLUMNS))
+    out = (trades.groupBy(F.col("symbol"), win.alias("w")).agg(*candle_aggs())
+           .withColumn("candle_time", F.col("w.start")))
+    return out.select(*OHLCV_COLUMNS, *(["w"] if keep_window else []))
 
 
-def stream_hourly(candles: DataFrame) -> DataFrame:
-    """Hourly roll-up chained on the minute candles' event time."""
+def stream_hourly(minute_candles: DataFrame) -> DataFrame:
+    """Hourly roll-up chained on minute candles (``stream_candles(...,
+    keep_window=True)``) through ``window_time``, which carries the event
+    time and watermark of the first aggregation into the second."""
     from tradelake.functions import round_half_away, safe_div, xsum
-    return (candles.withWatermark("candle_time", "0 seconds")
-            .groupBy("symbol", F.window("candle_time", "1 hour").alias("w"))
+    hour = F.window(F.window_time("w"), "1 hour")
+    return (minute_candles.groupBy("symbol", hour.alias("h"))
             .agg(round_half_away(safe_div(xsum("volume_usd", 2), xsum("volume", 8)), 6).alias("vwap"),
                  round_half_away(xsum("volume_usd", 2), 2).alias("total_volume_usd"),
                  F.sum("trade_count").alias("trade_count"))
-            .select("symbol", F.col("w.start").alias("hour"), "vwap", "total_volume_usd", "trade_count"))
+            .select("symbol", F.col("h.start").alias("hour"), "vwap", "total_volume_usd", "trade_count"))
 
 
 def whale_alerts(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD) -> DataFrame:
