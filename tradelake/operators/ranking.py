@@ -1,19 +1,22 @@
 """``rank() over (partition by g order by v desc)`` without a hot partition.
 
-A plain window sorts each group in one task.  Here the rank is computed as
-``1 + (number of rows of the group with a larger value)``:
-
-1. collapse equal values: ``groupBy(g, v).count()`` (map-side partial, so a
-   value repeated a million times is one row before the shuffle);
-2. cut the value axis into monotone sub-buckets (``2^-k`` of an octave);
-   the per-(group, bucket) counts are a small table whose prefix sum over
-   buckets gives "rows in higher buckets";
-3. within a (group, bucket), a running sum over the distinct values gives
-   "rows with a larger value in the same bucket";
-4. join the rank back on (g, v).  Equal values get equal ranks, the next
-   rank skips, exactly as ``rank()``.
-
-No task holds more than one (group, bucket) of distinct values.
+A plain window sorts each group in one task, so a group holding a third of
+the rows is a third of the job in one task.  Here each group is cut along
+the value axis into monotone sub-buckets (``2^-10`` of an octave), and
+
+    rank = (rows of the group in higher buckets) + rank within the bucket.
+
+1. per (group, bucket) row counts -- a small table; a running sum over the
+   buckets of a group (rows in higher buckets) is a window over that small
+   table only;
+2. ``rank()`` within (group, bucket) -- the window the rows are shuffled for;
+3. join the bucket offsets back on (group, bucket): the big side is already
+   partitioned on those keys by step 2, the small side is broadcast when AQE
+   measures it small.
+
+Equal values share a bucket, so ties get equal ranks and the next rank skips,
+exactly as ``rank()``.  Only a single repeated value can still concentrate
+rows, and those rows all tie.
 """
 
 from __future__ import annotations
@@ -45,17 +48,13 @@ def rank_desc(df: DataFrame, group_cols: list[str], value_col: str, out_col: str
     if strategy != "split":
         raise ValueError(strategy)
     v = F.col(value_col)
-    vals = (df.groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("_b", F.when(v.isNull(), F.lit(-(1 << 62))).otherwise(value_bucket(v))))
-    per_bucket = vals.groupBy(*group_cols, "_b").agg(F.sum("_n").alias("_bn"))
+    b = F.when(v.isNull(), F.lit(-(1 << 62))).otherwise(value_bucket(v))
+    keyed = df.withColumn("_b", b)
+    counts = keyed.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_bn"))
     higher = Window.partitionBy(*group_cols).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    bucket_off = per_bucket.select(*group_cols, "_b", F.coalesce(F.sum("_bn").over(higher), F.lit(0)).alias("_off"))
-    inside = (Window.partitionBy(*group_cols, "_b").orderBy(v.desc_nulls_last())
-              .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = (vals.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-             .join(bucket_off, [*group_cols, "_b"], "inner")
-             .select(*group_cols, value_col, (F.lit(1) + F.col("_off") + F.col("_in")).cast("long").alias(out_col)))
-    # eqNullSafe keeps NULL-valued rows (a plain equi-join would drop them).
-    r = ranks.select(*[F.col(c).alias(f"_r_{c}") for c in [*group_cols, value_col]], out_col)
-    cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in [*group_cols, value_col]]
-    return df.join(r, cond, "left").drop(*[f"_r_{c}" for c in [*group_cols, value_col]])
+    offsets = counts.select(*group_cols, "_b", F.coalesce(F.sum("_bn").over(higher), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*group_cols, "_b").orderBy(v.desc_nulls_last())
+    ranked = keyed.withColumn("_in", F.rank().over(inside))
+    return (ranked.join(offsets, [*group_cols, "_b"], "inner")
+            .withColumn(out_col, (F.col("_off") + F.col("_in")).cast("long"))
+            .drop("_b", "_off", "_in"))

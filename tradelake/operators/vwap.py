@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradelake.functions import round_half_away, safe_div, xsum, xsum_over
+from tradelake.functions import as_decimal, round_half_away, safe_div, xsum, xsum_over
 from tradelake.operators.rolling import DEFAULT_BLOCK_ROWS, rolling
 from tradelake.schema import MART_VWAP_COLUMNS
 
@@ -24,15 +24,32 @@ def hourly_vwap(candles: DataFrame) -> DataFrame:
                  round_half_away(F.max("high") - F.min("low"), 6).alias("price_range")))
 
 
+def trailing_sums(frame: DataFrame, spec, cols: dict[str, int], widths: list[int]) -> DataFrame:
+    """Exact sums over the last ``w`` rows as differences of running sums.
+
+    A sliding ``rowsBetween(-w+1, 0)`` frame re-adds the whole frame for every
+    row (O(n*w)); a running decimal sum is O(n), and ``cum - lag(cum, w)`` is
+    the same exact total.  Columns ``_cum_<c>`` and ``_sum<w>_<c>`` (double)
+    are added.
+    """
+    running = spec.rowsBetween(Window.unboundedPreceding, 0)
+    f = frame.withColumns({f"_cum_{c}": F.sum(as_decimal(c, scale)).over(running)
+                           for c, scale in cols.items()})
+    zero = {c: F.lit(0).cast(f"decimal(38,{scale})") for c, scale in cols.items()}
+    return f.withColumns({
+        f"_sum{w}_{c}": (F.col(f"_cum_{c}") - F.coalesce(F.lag(f"_cum_{c}", w).over(spec), zero[c])).cast("double")
+        for c in cols for w in widths})
+
+
 def rolling_vwap(candles: DataFrame, strategy: str = "blocked",
                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """VWAP over the last 30 and 60 candles (row frames: gaps are not filled)."""
     r = rolling(candles, ["symbol"], "candle_time", halo=59, strategy=strategy, block_rows=block_rows)
-    w30, w60 = r.spec.rowsBetween(-29, 0), r.spec.rowsBetween(-59, 0)
-    # Candle USD volumes carry 2 decimals and volumes 8: exact window sums.
-    v30 = safe_div(xsum_over("volume_usd", 2, w30), xsum_over("volume", 8, w30))
-    v60 = safe_div(xsum_over("volume_usd", 2, w60), xsum_over("volume", 8, w60))
-    out = r.frame.select(
+    # Candle USD volumes carry 2 decimals and volumes 8: exact trailing sums.
+    f = trailing_sums(r.frame, r.spec, {"volume_usd": 2, "volume": 8}, [30, 60])
+    v30 = safe_div(F.col("_sum30_volume_usd"), F.col("_sum30_volume"))
+    v60 = safe_div(F.col("_sum60_volume_usd"), F.col("_sum60_volume"))
+    out = f.select(
         "*",
         round_half_away(v30, 6).alias("vwap_30min"),
         round_half_away(v60, 6).alias("vwap_60min"),
@@ -56,7 +73,6 @@ def rolling_vwap_range(candles: DataFrame, minutes: int = 30) -> DataFrame:
     framed = (candles.withColumn("_copy", F.explode(copies))
               .withColumn("_day", F.date_add(day.cast("date"), F.col("_copy")))
               .withColumn("_us", F.unix_micros("candle_time")))
-    from pyspark.sql import Window
     w = Window.partitionBy("symbol", "_day").orderBy("_us").rangeBetween(-span_us, 0)
     v = safe_div(xsum_over("volume_usd", 2, w), xsum_over("volume", 8, w))
     out = framed.select("symbol", "candle_time", "close", "_copy",

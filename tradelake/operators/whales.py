@@ -23,6 +23,13 @@ def whale_filter(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD)
     return trades.where(F.col("volume_usd") >= F.lit(float(threshold)))
 
 
+def whale_base(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD) -> DataFrame:
+    """Whales with their hour and tier (no cross-row context)."""
+    return (whale_filter(trades, threshold)
+            .withColumn("hour", F.date_trunc("hour", "traded_at"))
+            .withColumn("whale_tier", whale_tier(F.col("volume_usd"))))
+
+
 def whale_trades(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD,
                  rank_strategy: str = "split") -> DataFrame:
     """Whales with share of hour volume, tier and rank among the hour's whales.
@@ -30,14 +37,11 @@ def whale_trades(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD,
     The threshold filter runs before the rank (rank is among whales only) and
     on the left side of the join only: hour totals cover all trades.
     """
-    whales = whale_filter(trades, threshold).withColumn("hour", F.date_trunc("hour", "traded_at"))
-    ctx = whales.join(hourly_market(trades), ["symbol", "hour"], "left")
-    ctx = ctx.withColumns({
-        "pct_of_hour_volume": round_half_away(
-            safe_div(F.col("volume_usd"), F.col("hour_total_volume_usd")) * F.lit(100.0), 4),
-        "whale_tier": whale_tier(F.col("volume_usd")),
-    })
-    ranked = rank_desc(ctx, ["symbol", "hour"], "volume_usd", "rank_in_hour", rank_strategy)
+    ranked = rank_desc(whale_base(trades, threshold), ["symbol", "hour"], "volume_usd",
+                       "rank_in_hour", rank_strategy)
+    ctx = ranked.join(hourly_market(trades), ["symbol", "hour"], "left")
+    ranked = ctx.withColumn("pct_of_hour_volume", round_half_away(
+        safe_div(F.col("volume_usd"), F.col("hour_total_volume_usd")) * F.lit(100.0), 4))
     return ranked.select("trade_id", "symbol", "traded_at", "price", "quantity", "volume_usd",
                          "side", "hour", "hour_total_volume_usd", "hour_total_trades",
                          "pct_of_hour_volume", "whale_tier", "rank_in_hour")
@@ -62,9 +66,13 @@ def hourly_whale_summary(whales: DataFrame) -> DataFrame:
 
 def mart_whale_trades(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD,
                       rank_strategy: str = "split") -> DataFrame:
-    """Each whale with its hour's whale summary (right side grouped by the key)."""
+    """Each whale with its hour's whale summary (right side grouped by the key).
+
+    The summary is aggregated from the plain whale rows, not from the ranked
+    and joined ones, so the rank and context stages run once.
+    """
     w = whale_trades(trades, threshold, rank_strategy)
-    s = hourly_whale_summary(w).select(
+    s = hourly_whale_summary(whale_base(trades, threshold)).select(
         "symbol", "hour",
         F.col("whale_trade_count").alias("hour_whale_count"),
         F.col("whale_volume_usd").alias("hour_whale_volume"),

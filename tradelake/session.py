@@ -30,7 +30,7 @@ def build_session(master: str | None = None, app_name: str = "tradelake",
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in SESSION_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:

@@ -47,9 +47,14 @@ def frames_from_trades(trades: DataFrame, broken_symbols: list[str] | None = Non
 
 
 def _parsed(frames: DataFrame, value_col: str = "value") -> DataFrame:
+    """Parse each frame once.  The parsed map feeds a dozen expressions; the
+    one-element ``explode`` keeps the optimizer from inlining (re-parsing)
+    it into each of them."""
     outer = F.from_json(F.col(value_col).cast("string"), MAP)
-    inner = F.when(F.map_contains_key(outer, "data"), F.from_json(outer["data"], MAP)).otherwise(outer)
-    return frames.withColumn("_outer", outer).withColumn("_m", inner)
+    step1 = frames.select("*", F.explode(F.array(outer)).alias("_outer"))
+    o = F.col("_outer")
+    inner = F.when(F.map_contains_key(o, "data"), F.from_json(o["data"], MAP)).otherwise(o)
+    return step1.select("*", F.explode(F.array(inner)).alias("_m"))
 
 
 def _reason() -> Column:
