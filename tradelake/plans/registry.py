@@ -20,6 +20,7 @@ from tradelake.operators import volatility as vol
 from tradelake.operators import vwap
 from tradelake.operators import whales
 from tradelake.plans import oracle as O
+from tradelake.session import checkpoint_root
 from tradelake.sources.adapters import event_trades, lineitem_trades
 
 
@@ -46,6 +47,19 @@ WHALE_THRESHOLD = 50_000.0
 
 # ---- shared inputs ------------------------------------------------------------
 
+def cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder.
+
+    Used where one intermediate feeds several branches of a plan (candles
+    feed the row numbering, the rolling windows and the hourly roll-up;
+    cleaned trades feed hourly totals, whale ranks and whale summaries):
+    the branches prune columns differently, so Spark cannot reuse one
+    exchange for them and would recompute trades -> candles per branch.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def events_stg(spark, sf):
     return stg_trades(event_trades(spark, sf))
 
@@ -54,24 +68,28 @@ def events_candles(spark, sf, interval="1 minute"):
     return ohlcv(events_stg(spark, sf), interval)
 
 
+def shared_candles(spark, sf):
+    return cut(events_candles(spark, sf))
+
+
 def lineitem_stg(spark, sf):
     return stg_trades(lineitem_trades(spark, sf))
 
 
 def whale_frame(spark, sf):
-    return whales.whale_trades(lineitem_stg(spark, sf), WHALE_THRESHOLD)
+    return whales.whale_trades(cut(lineitem_stg(spark, sf)), WHALE_THRESHOLD)
 
 
 def whale_mart(spark, sf):
-    return whales.mart_whale_trades(lineitem_stg(spark, sf), WHALE_THRESHOLD)
+    return whales.mart_whale_trades(cut(lineitem_stg(spark, sf)), WHALE_THRESHOLD)
 
 
 def vwap_mart(spark, sf):
-    return vwap.mart_vwap(events_candles(spark, sf))
+    return vwap.mart_vwap(shared_candles(spark, sf))
 
 
 def volatility_mart(spark, sf):
-    return vol.mart_volatility(events_candles(spark, sf))
+    return vol.mart_volatility(shared_candles(spark, sf))
 
 
 W = O.with_ctes
@@ -108,7 +126,7 @@ def q_hourly_vwap(spark, sf):
 
 @register("rolling_vwap", W(O.vwap_ctes(), "select * from rolling_vwap"))
 def q_rolling_vwap(spark, sf):
-    return vwap.rolling_vwap(events_candles(spark, sf))
+    return vwap.rolling_vwap(shared_candles(spark, sf))
 
 
 @register("rolling_vwap_range", W(O.candle_ctes(), """
@@ -134,7 +152,7 @@ def q_mart_vwap(spark, sf):
          greatest(hl_range, high_prev_close, low_prev_close) as true_range
   from returns"""))
 def q_log_returns(spark, sf):
-    return vol.log_returns(events_candles(spark, sf))
+    return vol.log_returns(shared_candles(spark, sf))
 
 
 @register("sma_20", W(O.volatility_ctes(), "select symbol, candle_time, close, sma_20 from mart_volatility"))
@@ -175,7 +193,7 @@ def q_mart_volatility(spark, sf):
               rows between unbounded preceding and current row) as double) as cvd
   from candles"""))
 def q_cvd(spark, sf):
-    return vol.cvd(events_candles(spark, sf))
+    return vol.cvd(shared_candles(spark, sf))
 
 
 # ---- gold: whales ------------------------------------------------------------------
@@ -436,7 +454,7 @@ DQ_CTES = O.merge_ctes(EV, O.whale_ctes(WHALE_THRESHOLD, p="l_"))
 def _dq_tables(spark, sf):
     bronze = event_trades(spark, sf)
     stg = stg_trades(bronze)
-    candles = ohlcv(stg)
+    candles = cut(ohlcv(stg))
     return {"bronze_trades": bronze, "stg_trades": stg, "stg_ohlcv_1min": candles,
             "mart_vwap": vwap.mart_vwap(candles), "mart_volatility": vol.mart_volatility(candles),
             "mart_whale_trades": whale_mart(spark, sf)}
