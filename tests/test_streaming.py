@@ -130,3 +130,35 @@ def test_stream_whale_context(spark):
     got = spark.read.parquet(out).select("trade_id", "symbol", "hour_total_trades")
     exp = whale_trades(stg, 5_000.0).select("trade_id", "symbol", "hour_total_trades")
     assert got.count() > 0 and same(got, exp)
+
+
+def test_progress_listener_sees_observed_metrics(spark):
+    import time
+    from tradelake.streaming.metrics import ProgressLog, observe_ingest
+    tr = event_trades(spark, SF_SMALL)
+    src, out, ck = (new_scratch_path(spark, n) for n in ("s", "o", "c"))
+    tr.write.parquet(src)
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        q = P.write_append(observe_ingest(P.stream_trades(P.bronze_stream(spark, src))), out, ck)
+        q.awaitTermination()
+        for _ in range(50):          # listener events are delivered asynchronously
+            if any(e["observed"] for e in log.events):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    seen = [e["observed"]["ingest"] for e in log.events if e["observed"]]
+    assert seen and sum(x["rows"] for x in seen) == stg_trades(tr).count()
+
+
+def test_scheduled_run_gates_checks(spark):
+    import pytest
+    from tradelake.plans.build import BuildFailed, scheduled_run
+    tr = event_trades(spark, SF_SMALL)
+    built, report = scheduled_run(spark, tr)
+    assert report.where(F.col("status") == "fail").count() == 0
+    assert built.mart_vwap.count() == built.candles.count()
+    with pytest.raises(BuildFailed):
+        scheduled_run(spark, tr.drop("price"))

@@ -40,13 +40,18 @@ def layers(bronze: DataFrame, interval: str = "1 minute",
                   mart_whale_trades(stg, whale_threshold))
 
 
-def materialize(df: DataFrame, spark: SparkSession, name: str, partition_by=None) -> DataFrame:
+def materialize(df: DataFrame, spark: SparkSession, name: str, partition_by=None,
+                sort_by=None) -> DataFrame:
     """Write ``df`` under the shared checkpoint root and read it back.
 
     Cuts the lineage the way a table does: downstream stages read files, and a
     lost executor re-reads them instead of recomputing upstream stages.
+    ``sort_by`` orders rows inside each file (tight row-group min/max for the
+    serving filters) without a global sort.
     """
     path = new_scratch_path(spark, name)
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -57,9 +62,61 @@ def materialize(df: DataFrame, spark: SparkSession, name: str, partition_by=None
 def build_gold(spark: SparkSession, bronze: DataFrame, interval: str = "1 minute",
                whale_threshold: float = DEFAULT_WHALE_THRESHOLD) -> Layers:
     """Run the whole build; silver candles are written once and shared."""
-    stg = materialize(stg_trades(bronze), spark, "stg_trades")
-    candles = materialize(ohlcv(stg, interval), spark, "stg_ohlcv")
+    by_time = ["symbol", "candle_time"]
+    stg = materialize(stg_trades(bronze), spark, "stg_trades", sort_by=["symbol", "traded_at"])
+    candles = materialize(ohlcv(stg, interval), spark, "stg_ohlcv", sort_by=by_time)
     return Layers(stg, candles,
-                  materialize(mart_vwap(candles), spark, "mart_vwap"),
-                  materialize(mart_volatility(candles), spark, "mart_volatility"),
-                  materialize(mart_whale_trades(stg, whale_threshold), spark, "mart_whale_trades"))
+                  materialize(mart_vwap(candles), spark, "mart_vwap", sort_by=by_time),
+                  materialize(mart_volatility(candles), spark, "mart_volatility", sort_by=by_time),
+                  materialize(mart_whale_trades(stg, whale_threshold), spark, "mart_whale_trades",
+                              sort_by=["symbol", "traded_at"]))
+
+
+def quality_report(layers: Layers, bronze: DataFrame) -> DataFrame:
+    """The not-null / unique / accepted-values / range checks of every layer,
+    as one findings table (rows with status "fail" are violations)."""
+    from pyspark.sql import functions as F
+    from tradelake.functions import SIDES, TIER_ORDER
+    from tradelake.operators import quality as Q
+    nn = [
+        Q.not_null(bronze, "bronze_trades", ["trade_id", "symbol", "price", "quantity", "timestamp", "ingested_at"]),
+        Q.not_null(layers.stg_trades, "stg_trades", ["trade_id", "symbol", "price", "quantity", "volume_usd",
+                                                     "side", "traded_at", "ingested_at"]),
+        Q.not_null(layers.candles, "stg_ohlcv_1min", ["symbol", "candle_time", "open", "high", "low", "close",
+                                                      "volume_usd", "vwap", "volume_delta"]),
+        Q.not_null(layers.mart_vwap, "mart_vwap", ["symbol", "candle_time", "vwap_30min", "vwap_60min",
+                                                   "price_vs_vwap"]),
+        Q.not_null(layers.mart_volatility, "mart_volatility", ["symbol", "candle_time"]),
+        Q.not_null(layers.mart_whale_trades, "mart_whale_trades", ["trade_id", "symbol", "traded_at", "volume_usd"]),
+    ]
+    dup = Q.unique(layers.stg_trades, "stg_trades", ["symbol", "trade_id"])
+    bad = Q.union_all([Q.accepted_values(layers.stg_trades, "stg_trades", "side", SIDES),
+                       Q.accepted_values(layers.mart_whale_trades, "mart_whale_trades", "whale_tier", TIER_ORDER)])
+    rng = Q.range_check(layers.stg_trades, "stg_trades",
+                        {"price_positive": F.col("price") > 0, "quantity_positive": F.col("quantity") > 0})
+    as_rows = [
+        dup.groupBy("table_name").agg(F.count(F.lit(1)).alias("failures"))
+           .select("table_name", F.lit("unique:symbol,trade_id").alias("check"), "failures"),
+        bad.groupBy("table_name", "column_name").agg(F.sum("n").alias("failures"))
+           .select("table_name", F.concat(F.lit("accepted_values:"), "column_name").alias("check"), "failures"),
+        rng.select("table_name", F.col("check_name").alias("check"), "failures"),
+    ] + [x.select("table_name", F.concat(F.lit("not_null:"), "column_name").alias("check"), "failures")
+         for x in nn]
+    out = Q.union_all([x.select("table_name", "check", F.col("failures").cast("long").alias("failures"))
+                       for x in as_rows])
+    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
+class BuildFailed(RuntimeError):
+    pass
+
+
+def scheduled_run(spark: SparkSession, bronze: DataFrame, **kw) -> tuple[Layers, DataFrame]:
+    """One scheduled rebuild: build first, run the checks only if the build
+    succeeded (an exception stops the run before any check)."""
+    try:
+        built = build_gold(spark, bronze, **kw)
+    except Exception as exc:  # noqa: BLE001
+        raise BuildFailed(str(exc)) from exc
+    report = materialize(quality_report(built, bronze), spark, "quality_report")
+    return built, report
