@@ -711,3 +711,22 @@ def q_stream_dedup(spark, sf):
     replays(trades).write.mode("append").parquet(src)
     run()                                   # restart: only the replay files are new
     return spark.read.parquet(out).select(*events_stg(spark, sf).columns)
+
+
+from tradelake.streaming import incremental as INC  # noqa: E402
+
+SPLIT_MS = 1_705_276_800_000     # 2024-01-15 00:00 UTC: second half arrives after a restart
+
+
+@register("stream_mart_vwap", W(O.vwap_ctes(), "select * from mart_vwap"),
+          note="incremental foreachBatch refresh over two runs equals the full rebuild")
+def q_stream_mart_vwap(spark, sf):
+    bronze, cpath, vpath, opath, ck = (new_scratch_path(spark, n) for n in
+                                       ("inc_bronze", "inc_candles", "inc_vwap", "inc_vol", "inc_ck"))
+    trades = event_trades(spark, sf)
+    for part in (F.col("timestamp") < SPLIT_MS, F.col("timestamp") >= SPLIT_MS):
+        B.write_bronze(trades.where(part), bronze)
+        INC.start_refresh(P.bronze_stream(spark, bronze), bronze, cpath, vpath, opath, ck,
+                          available_now=True).awaitTermination()
+    from tradelake.schema import MART_VWAP_COLUMNS
+    return spark.read.parquet(vpath).select(*MART_VWAP_COLUMNS)
