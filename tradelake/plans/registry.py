@@ -20,7 +20,7 @@ from tradelake.operators import volatility as vol
 from tradelake.operators import vwap
 from tradelake.operators import whales
 from tradelake.plans import oracle as O
-from tradelake.session import checkpoint_root
+from tradelake.plans.build import materialize
 from tradelake.sources.adapters import event_trades, lineitem_trades
 
 
@@ -48,16 +48,18 @@ WHALE_THRESHOLD = 50_000.0
 # ---- shared inputs ------------------------------------------------------------
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+    """Write an intermediate as Parquet in the shared checkpoint folder and
+    read it back.
 
     Used where one intermediate feeds several branches of a plan (candles
     feed the row numbering, the rolling windows and the hourly roll-up;
     cleaned trades feed hourly totals, whale ranks and whale summaries):
     the branches prune columns differently, so Spark cannot reuse one
     exchange for them and would recompute trades -> candles per branch.
+    Parquet (rather than an RDD checkpoint) keeps column pruning, filter
+    pushdown and size statistics for the readers.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialize(df, df.sparkSession, "shared")
 
 
 def events_stg(spark, sf):
