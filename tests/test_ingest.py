@@ -82,3 +82,22 @@ def test_compaction_keeps_rows(spark):
     out = B.compact_bronze(spark, path, new_scratch_path(spark, "bronze_big"), files_per_partition=2)
     assert out.select(*BRONZE_COLUMNS).exceptAll(tr).count() == 0
     assert out.count() == tr.count()
+
+
+def test_gold_table_and_listing(spark):
+    from tradelake.sources.tables import list_tables, write_table
+    df = event_trades(spark, SF_SMALL).limit(10)
+    back = write_table(spark, df, "gold", "sample_trades", partition_by=["symbol"])
+    assert back.count() == 10
+    assert "sample_trades" in list_tables(spark, "gold")
+
+
+def test_time_range_filter_prunes_days(spark):
+    path = new_scratch_path(spark, "bronze_range")
+    B.write_bronze(event_trades(spark, SF_SMALL), path)
+    start, end = 1_705_276_800_000, 1_705_276_800_000 + 36 * 3_600_000     # 15th 00:00 .. 16th 12:00
+    q = B.read_bronze(spark, path).where(B.time_range_filter(start, end))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "concat_ws" in plan
+    exp = event_trades(spark, SF_SMALL).where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
+    assert q.count() == exp.count() > 0

@@ -410,7 +410,8 @@ def q_buy_pressure(spark, sf):
 @register("buy_pressure_pivot", W(O.silver_ctes() + [("bp", BUY_PRESSURE_SQL)],
                                   "select hour, " + ", ".join(
                                       f"max(case when symbol = '{s}' then buy_pct end) as {s}"
-                                      for s in EVENT_SYMBOLS) + " from bp group by hour"))
+                                      for s in EVENT_SYMBOLS)
+                                  + ", strftime(hour, '%H:%M') as hour_label from bp group by hour"))
 def q_buy_pressure_pivot(spark, sf):
     return S.buy_pressure_pivot(events_stg(spark, sf), EVENT_SYMBOLS)
 

@@ -173,7 +173,8 @@ def buy_pressure_pivot(stg: DataFrame, symbols: list[str]) -> DataFrame:
     job discovers them.
     """
     return (buy_pressure(stg).groupBy("hour").pivot("symbol", symbols)
-            .agg(F.first("buy_pct")))
+            .agg(F.first("buy_pct"))
+            .withColumn("hour_label", F.date_format("hour", "HH:mm")))   # display only; repeats daily
 
 
 def hourly_volatility(mart_vol: DataFrame) -> DataFrame:

@@ -28,8 +28,9 @@ from tradelake.schema import BRONZE_COLUMNS, BRONZE_READ_SCHEMA, OHLCV_COLUMNS
 from tradelake.sources.bronze import write_bronze
 from tradelake.sources.raw import parse_with_rejects
 
-# Flush policy of the ingest (rows per flush, seconds per flush).
-FLUSH_ROWS = 500
+# Fixed value: flush interval of the ingest, in seconds (the trigger period).
+# Batch size is bounded by the source instead (maxOffsetsPerTrigger /
+# maxFilesPerTrigger), sized to the cluster rather than to a row count.
 FLUSH_SECONDS = 30
 
 
