@@ -10,8 +10,9 @@ micro-batch therefore recomputes exactly what it can have changed:
    partition overwrite;
 3. the marts of each touched symbol from its first touched day on, reading
    as many earlier days as hold the 60 candles the windows look back over
-   (found from per-day candle counts, a small table), and writing only the
-   days from the first touched one, again with dynamic overwrite.
+   (found from per-day candle counts of the last days before it, a small
+   table), and writing only the days from the first touched one, again with
+   dynamic overwrite.
 
 Every write replaces whole (symbol, day) partitions computed from bronze, so
 replaying a batch after a failure gives the same tables.
@@ -54,27 +55,51 @@ def refresh_candles(spark: SparkSession, bronze_path: str, candles_path: str, to
     _overwrite(candles, candles_path)
 
 
+def _start_days(counts: DataFrame, first: DataFrame, lookback_rows: int) -> DataFrame:
+    """Per symbol: the earliest day needed so that the days before its first
+    touched day hold ``lookback_rows`` candles (or all of them, if fewer)."""
+    newer = Window.partitionBy("symbol").orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    before = (counts.join(F.broadcast(first), "symbol").where(F.col("day") < F.col("first_day"))
+              .withColumn("_after", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+              .where(F.col("_after") < lookback_rows))
+    return before.groupBy("symbol").agg(F.min("day").alias("start_day"),
+                                        F.max(F.col("_after") + F.col("n")).alias("rows_found"))
+
+
 def refresh_marts(spark: SparkSession, candles_path: str, vwap_path: str, vol_path: str,
-                  touched: DataFrame, lookback_rows: int = LOOKBACK_ROWS) -> None:
+                  touched: DataFrame, lookback_rows: int = LOOKBACK_ROWS,
+                  lookback_days: int = 7) -> None:
+    """Recompute the marts of the touched symbols from their first touched day.
+
+    Per-day candle counts are read only for the ``lookback_days`` before the
+    earliest touched day (a static partition filter); a symbol whose recent
+    days hold fewer than ``lookback_rows`` candles falls back to counting its
+    whole history, so the look-back is exact either way.
+    """
     first = touched.groupBy("symbol").agg(F.min("day").alias("first_day"))
+    lo = first.agg(F.date_format(F.date_sub(F.to_date(F.min("first_day")), lookback_days),
+                                 "yyyy-MM-dd")).first()[0]          # one value
     candles = spark.read.parquet(candles_path)
-    counts = (candles.groupBy("symbol", "day").agg(F.count(F.lit(1)).alias("n"))
-              .join(F.broadcast(first), "symbol"))
-    # days before the first touched day, newest first, until they hold the look-back rows
-    newer = Window.partitionBy("symbol").orderBy(F.col("day").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    before = (counts.where(F.col("day") < F.col("first_day"))
-              .withColumn("_after", F.coalesce(F.sum("n").over(newer), F.lit(0)))
-              .where(F.col("_after") < lookback_rows)
-              .groupBy("symbol").agg(F.min("day").alias("start_day")))
-    bounds = first.join(before, "symbol", "left").select(
+
+    def day_counts(df):
+        return df.groupBy("symbol", "day").agg(F.count(F.lit(1)).alias("n"))
+
+    recent = _start_days(day_counts(candles.where(F.col("day") >= F.lit(lo))), first, lookback_rows)
+    short = first.join(recent, "symbol", "left").where(
+        F.coalesce(F.col("rows_found"), F.lit(0)) < lookback_rows).select("symbol", "first_day")
+    full = _start_days(day_counts(candles.join(F.broadcast(short.select("symbol")), "symbol", "left_semi")),
+                       short, lookback_rows)
+    start = (recent.join(short.select("symbol"), "symbol", "left_anti").select("symbol", "start_day")
+             .unionByName(full.select("symbol", "start_day")))
+    bounds = first.join(start, "symbol", "left").select(
         "symbol", "first_day", F.coalesce("start_day", "first_day").alias("start_day"))
     frame = (candles.join(F.broadcast(bounds), "symbol")
-             .where(F.col("day") >= F.col("start_day")).drop("day", "start_day"))
-    keep = F.col("day") >= F.col("first_day")
+             .where(F.col("day") >= F.col("start_day")).drop("day", "start_day", "first_day"))
     fd = bounds.select("symbol", "first_day")
     for mart, path in ((mart_vwap, vwap_path), (mart_volatility, vol_path)):
-        out = (mart(frame.drop("first_day")).withColumn("day", _day("candle_time"))
-               .join(F.broadcast(fd), "symbol").where(keep).drop("first_day"))
+        out = (mart(frame).withColumn("day", _day("candle_time"))
+               .join(F.broadcast(fd), "symbol").where(F.col("day") >= F.col("first_day"))
+               .drop("first_day"))
         _overwrite(out, path)
 
 
