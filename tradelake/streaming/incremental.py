@@ -4,10 +4,11 @@ Row-frame windows cannot run on a stream, and a late trade changes its
 candle, up to 59 following VWAP rows, its hour's VWAP, and so on.  Each
 micro-batch therefore recomputes exactly what it can have changed:
 
-1. the (symbol, day) pairs the batch touches -- a small table;
-2. their candles, from all bronze trades of those days (the bronze layout
-   prunes the read to those directories), written back with dynamic
-   partition overwrite;
+1. the (symbol, minute) pairs the batch touches -- bounded by the batch;
+2. those candles, from all bronze trades of those minutes (the bronze layout
+   prunes the read to the touched day directories, timestamp statistics to
+   the touched range), merged into their (symbol, day) partitions and written
+   back with dynamic partition overwrite;
 3. the marts of each touched symbol from its first touched day on, reading
    as many earlier days as hold the 60 candles the windows look back over
    (found from per-day candle counts of the last days before it, a small
@@ -27,6 +28,7 @@ from tradelake.operators.candles import ohlcv
 from tradelake.operators.silver import stg_trades
 from tradelake.operators.volatility import mart_volatility
 from tradelake.operators.vwap import mart_vwap
+from tradelake.session import new_scratch_path
 from tradelake.sources.bronze import read_bronze
 
 LOOKBACK_ROWS = 60          # the longest row frame (VWAP-60) reaches 59 rows back
@@ -37,22 +39,66 @@ def _day(ts_col: str) -> F.Column:
 
 
 def _overwrite(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace the (symbol, day) partitions present in ``df``.
+
+    A (symbol, day) holds at most one candle per minute (1,440 rows), so
+    clustering on it gives one file per directory without a hot task.
+    """
+    (df.repartition("symbol", "day").sortWithinPartitions("symbol", "day", "candle_time")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("symbol", "day").parquet(path))
 
 
-def touched_days(batch: DataFrame) -> DataFrame:
-    return (batch.select("symbol", F.date_format(F.timestamp_millis("timestamp"), "yyyy-MM-dd").alias("day"))
-            .where(F.col("symbol").isNotNull()).distinct())
+def touched_minutes(batch: DataFrame) -> DataFrame:
+    """(symbol, day, minute) the batch's trades fall in -- bounded by the batch."""
+    ts = F.timestamp_millis("timestamp")
+    return (batch.where(F.col("symbol").isNotNull() & F.col("timestamp").isNotNull())
+            .select("symbol", F.date_format(ts, "yyyy-MM-dd").alias("day"),
+                    F.date_trunc("minute", ts).alias("candle_time"))
+            .distinct())
+
+
+def touched_days(touched: DataFrame) -> DataFrame:
+    return touched.select("symbol", "day").distinct()
 
 
 def refresh_candles(spark: SparkSession, bronze_path: str, candles_path: str, touched: DataFrame) -> None:
-    t = touched.select("symbol", F.split("day", "-").alias("p")).select(
+    """Recompute only the touched minutes' candles, from all bronze trades of
+    those minutes, and rewrite their (symbol, day) partitions.
+
+    A hot symbol's day is not re-aggregated for every batch: the bronze read
+    is pruned to the touched day directories and then to the touched minutes
+    (time-sorted files skip row groups by their timestamp statistics).
+    """
+    days = touched_days(touched)
+    dirs = days.select("symbol", F.split("day", "-").alias("p")).select(
         "symbol", F.col("p")[0].alias("year"), F.col("p")[1].alias("month"), F.col("p")[2].alias("day"))
-    # join on directory columns: dynamic partition pruning limits the scan
-    trades = read_bronze(spark, bronze_path).join(F.broadcast(t), ["symbol", "year", "month", "day"], "left_semi")
-    candles = ohlcv(stg_trades(trades)).withColumn("day", _day("candle_time"))
-    _overwrite(candles, candles_path)
+    minutes = touched.select("symbol", "candle_time")
+    lo_ms, hi_ms = touched.agg(F.unix_millis(F.min("candle_time")),
+                               F.unix_millis(F.max("candle_time")) + F.lit(60_000)).first()
+    # directory join drives dynamic partition pruning; the time range prunes row groups
+    trades = (read_bronze(spark, bronze_path)
+              .where((F.col("timestamp") >= F.lit(lo_ms)) & (F.col("timestamp") < F.lit(hi_ms)))
+              .join(F.broadcast(dirs), ["symbol", "year", "month", "day"], "left_semi")
+              .withColumn("_m", F.date_trunc("minute", F.timestamp_millis("timestamp")))
+              .join(minutes.withColumnRenamed("candle_time", "_m"), ["symbol", "_m"], "left_semi")
+              .drop("_m"))
+    fresh = ohlcv(stg_trades(trades)).withColumn("day", _day("candle_time"))
+    merged = fresh
+    if _exists(spark, candles_path):
+        kept = (spark.read.parquet(candles_path).join(F.broadcast(days), ["symbol", "day"], "left_semi")
+                .join(minutes, ["symbol", "candle_time"], "left_anti"))
+        merged = kept.unionByName(fresh)
+    # stage first: the partitions being replaced are also being read
+    staged = new_scratch_path(spark, "candles_stage")
+    merged.write.parquet(staged)
+    _overwrite(spark.read.parquet(staged), candles_path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def _start_days(counts: DataFrame, first: DataFrame, lookback_rows: int) -> DataFrame:
@@ -76,7 +122,7 @@ def refresh_marts(spark: SparkSession, candles_path: str, vwap_path: str, vol_pa
     days hold fewer than ``lookback_rows`` candles falls back to counting its
     whole history, so the look-back is exact either way.
     """
-    first = touched.groupBy("symbol").agg(F.min("day").alias("first_day"))
+    first = touched_days(touched).groupBy("symbol").agg(F.min("day").alias("first_day"))
     lo = first.agg(F.date_format(F.date_sub(F.to_date(F.min("first_day")), lookback_days),
                                  "yyyy-MM-dd")).first()[0]          # one value
     candles = spark.read.parquet(candles_path)
@@ -91,23 +137,30 @@ def refresh_marts(spark: SparkSession, candles_path: str, vwap_path: str, vol_pa
                        short, lookback_rows)
     start = (recent.join(short.select("symbol"), "symbol", "left_anti").select("symbol", "start_day")
              .unionByName(full.select("symbol", "start_day")))
+    # One row per touched symbol, and the candles both marts start from: kept
+    # for this batch only (several plan branches read them; a lost block is
+    # recomputed from its lineage).
     bounds = first.join(start, "symbol", "left").select(
-        "symbol", "first_day", F.coalesce("start_day", "first_day").alias("start_day"))
+        "symbol", "first_day", F.coalesce("start_day", "first_day").alias("start_day")).persist()
     frame = (candles.join(F.broadcast(bounds), "symbol")
-             .where(F.col("day") >= F.col("start_day")).drop("day", "start_day", "first_day"))
-    fd = bounds.select("symbol", "first_day")
-    for mart, path in ((mart_vwap, vwap_path), (mart_volatility, vol_path)):
-        out = (mart(frame).withColumn("day", _day("candle_time"))
-               .join(F.broadcast(fd), "symbol").where(F.col("day") >= F.col("first_day"))
-               .drop("first_day"))
-        _overwrite(out, path)
+             .where(F.col("day") >= F.col("start_day")).drop("day", "start_day", "first_day")).persist()
+    try:
+        fd = bounds.select("symbol", "first_day")
+        for mart, path in ((mart_vwap, vwap_path), (mart_volatility, vol_path)):
+            out = (mart(frame).withColumn("day", _day("candle_time"))
+                   .join(F.broadcast(fd), "symbol").where(F.col("day") >= F.col("first_day"))
+                   .drop("first_day"))
+            _overwrite(out, path)
+    finally:
+        frame.unpersist()
+        bounds.unpersist()
 
 
 def refresh_batch(bronze_path: str, candles_path: str, vwap_path: str, vol_path: str):
     """``foreachBatch`` body over a bronze trade stream."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = touched_days(batch).persist()
+        touched = touched_minutes(batch).persist()
         try:
             if touched.isEmpty():
                 return
