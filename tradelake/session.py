@@ -14,6 +14,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE sizes post-shuffle partitions to this target (coalescing small ones,
+    # splitting skewed ones), so shuffle.partitions can be set high once.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.ansi.enabled": "true",
 }
 
