@@ -100,3 +100,22 @@ def test_split_rank_equals_rank(spark):
 def test_mart_whale_left_join_keeps_rows(spark):
     s = stg_trades(lineitem_trades(spark, SF_SMALL))
     assert mart_whale_trades(s).count() == whale_trades(s).count()
+
+
+def test_marts_independent_of_partitioning(spark):
+    b = event_trades(spark, SF_SMALL)
+    c1 = ohlcv(stg_trades(b.coalesce(1)))
+    c2 = ohlcv(stg_trades(b.repartition(5, "trade_id"))).repartition(3)
+    assert same(mart_vwap(c1), mart_vwap(c2))
+    assert same(mart_volatility(c1), mart_volatility(c2))
+    assert same(cvd(c1), cvd(c2))
+
+
+def test_hourly_sums_equal_candle_sums(spark):
+    from tradelake.operators.vwap import hourly_vwap
+    c = ohlcv(stg_trades(event_trades(spark, SF_SMALL)))
+    h = hourly_vwap(c)
+    per_hour = c.groupBy("symbol", F.date_trunc("hour", "candle_time").alias("hour")).agg(
+        F.sum("trade_count").alias("tc"))
+    j = h.join(per_hour, ["symbol", "hour"])
+    assert j.count() == h.count() and j.where(F.col("tc") != F.col("trade_count")).count() == 0
