@@ -113,14 +113,29 @@ def whale_alerts(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD)
 
 
 def write_append(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-                 partition_by: list[str] | None = None):
-    """File sink: exactly-once files through the sink's own commit log."""
+                 partition_by: list[str] | None = None, state_partitions: int | None = None):
+    """File sink: exactly-once files through the sink's own commit log.
+
+    Stateful operators keep one state store per shuffle partition, fixed
+    when the checkpoint is created.  ``state_partitions`` defaults to the
+    cluster's parallelism (one state task per core) instead of whatever the
+    session's batch setting is; the query runs on a clone of the session
+    taken at start, so the setting is restored right after.
+    """
+    spark = df.sparkSession
     w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if available_now:
         w = w.trigger(availableNow=True)
-    return w.start(path)
+    n = state_partitions or max(1, spark.sparkContext.defaultParallelism)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return w.start(path)
+    finally:
+        spark.conf.set(key, before)
 
 
 def whale_context_batch(hourly_market_path: str, out_path: str,
