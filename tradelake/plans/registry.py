@@ -716,6 +716,7 @@ def q_stream_dedup(spark, sf):
     return spark.read.parquet(out).select(*events_stg(spark, sf).columns)
 
 
+from tradelake.schema import MART_VWAP_COLUMNS  # noqa: E402
 from tradelake.streaming import incremental as INC  # noqa: E402
 
 SPLIT_MS = 1_705_276_800_000     # 2024-01-15 00:00 UTC: second half arrives after a restart
@@ -731,5 +732,4 @@ def q_stream_mart_vwap(spark, sf):
         B.write_bronze(trades.where(part), bronze)
         INC.start_refresh(P.bronze_stream(spark, bronze), bronze, cpath, vpath, opath, ck,
                           available_now=True).awaitTermination()
-    from tradelake.schema import MART_VWAP_COLUMNS
     return spark.read.parquet(vpath).select(*MART_VWAP_COLUMNS)

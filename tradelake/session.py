@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -87,5 +88,4 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint root."""
-    import uuid
     return scratch_path(spark, f"{name}-{os.getpid()}-{uuid.uuid4().hex[:12]}")
