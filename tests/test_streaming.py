@@ -10,7 +10,7 @@ from tradelake.operators.silver import stg_trades
 from tradelake.session import new_scratch_path
 from tradelake.sources import raw as R
 from tradelake.sources.adapters import event_trades
-from tradelake.streaming import pipeline as P
+from tradelake.streaming import jobs as P
 
 
 def same(a, b):

@@ -671,7 +671,7 @@ def q_gold_roundtrip(spark, sf):
 
 # ---- streaming (availableNow runs over files; the sink is read back) ---------------
 
-from tradelake.streaming import pipeline as P  # noqa: E402
+from tradelake.streaming import jobs as P  # noqa: E402
 
 STREAM_WATERMARK = "10 minutes"
 REPLAY_WATERMARK = "31 days"     # replays are re-read up to a month later
