@@ -1,22 +1,25 @@
 """``rank() over (partition by g order by v desc)`` without a hot partition.
 
 A plain window sorts each group in one task, so a group holding a third of
-the rows is a third of the job in one task.  Here each group is cut along
-the value axis into monotone sub-buckets (``2^-10`` of an octave), and
-
-    rank = (rows of the group in higher buckets) + rank within the bucket.
-
-1. per (group, bucket) row counts -- a small table; a running sum over the
-   buckets of a group (rows in higher buckets) is a window over that small
-   table only;
-2. ``rank()`` within (group, bucket) -- the window the rows are shuffled for;
-3. join the bucket offsets back on (group, bucket): the big side is already
-   partitioned on those keys by step 2, the small side is broadcast when AQE
-   measures it small.
-
-Equal values share a bucket, so ties get equal ranks and the next rank skips,
-exactly as ``rank()``.  Only a single repeated value can still concentrate
-rows, and those rows all tie.
+the rows is a third of the job in one task.  Here the rank is computed as
+
+    rank(v) = 1 + (rows of the group with a larger value)
+
+from small tables, then joined back:
+
+1. ``groupBy(g, v).count()`` -- one row per distinct value; the map-side
+   partial step collapses a value repeated millions of times to one row per
+   task before the shuffle;
+2. the value axis of each group is cut into monotone sub-buckets (``2^-10``
+   of an octave); per-(group, bucket) totals are a small table whose running
+   sum over buckets gives "rows in higher buckets";
+3. within a (group, bucket), a running sum over the distinct values gives
+   "rows with a larger value in the same bucket";
+4. the rank of each distinct value is joined back to the rows on (g, v); a
+   value that still holds many rows is a skewed join key, which AQE's skew
+   join splits.
+
+Equal values get equal ranks and the next rank skips, exactly as ``rank()``.
 """
 
 from __future__ import annotations
@@ -48,13 +51,18 @@ def rank_desc(df: DataFrame, group_cols: list[str], value_col: str, out_col: str
     if strategy != "split":
         raise ValueError(strategy)
     v = F.col(value_col)
-    b = F.when(v.isNull(), F.lit(-(1 << 62))).otherwise(value_bucket(v))
-    keyed = df.withColumn("_b", b)
-    counts = keyed.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    keys = [*group_cols, value_col]
+    vals = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_b", F.when(v.isNull(), F.lit(-(1 << 62))).otherwise(value_bucket(v))))
+    per_bucket = vals.groupBy(*group_cols, "_b").agg(F.sum("_n").alias("_bn"))
     higher = Window.partitionBy(*group_cols).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, "_b", F.coalesce(F.sum("_bn").over(higher), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*group_cols, "_b").orderBy(v.desc_nulls_last())
-    ranked = keyed.withColumn("_in", F.rank().over(inside))
-    return (ranked.join(offsets, [*group_cols, "_b"], "inner")
-            .withColumn(out_col, (F.col("_off") + F.col("_in")).cast("long"))
-            .drop("_b", "_off", "_in"))
+    offsets = per_bucket.select(*group_cols, "_b", F.coalesce(F.sum("_bn").over(higher), F.lit(0)).alias("_off"))
+    larger = (Window.partitionBy(*group_cols, "_b").orderBy(v.desc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = (vals.withColumn("_in", F.coalesce(F.sum("_n").over(larger), F.lit(0)))
+             .join(offsets, [*group_cols, "_b"], "inner")
+             .select(*[F.col(c).alias(f"_r_{c}") for c in keys],
+                     (F.lit(1) + F.col("_off") + F.col("_in")).cast("long").alias(out_col)))
+    # null-safe equality keeps rows whose value is NULL
+    cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
+    return df.join(ranks, cond, "left").drop(*[f"_r_{c}" for c in keys])
