@@ -119,3 +119,13 @@ def test_hourly_sums_equal_candle_sums(spark):
         F.sum("trade_count").alias("tc"))
     j = h.join(per_hour, ["symbol", "hour"])
     assert j.count() == h.count() and j.where(F.col("tc") != F.col("trade_count")).count() == 0
+
+
+def test_split_rank_hot_repeated_value(spark):
+    """A third of the rows share one (symbol, hour, value): ranks still equal rank()."""
+    rows = [("S", 0, float(v)) for v in range(200)] + [("S", 0, 77.0)] * 100 + [("T", 1, None)] * 3
+    df = spark.createDataFrame(rows, "g string, h int, v double").withColumn("id", F.monotonically_increasing_id())
+    a = ranking.rank_desc(df, ["g", "h"], "v", "r", "split").select("id", "r")
+    b = ranking.rank_desc(df, ["g", "h"], "v", "r", "plain").select("id", "r")
+    assert same(a, b)
+    assert a.count() == df.count()
