@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # whale threshold in USD; the topic suffix of the per-symbol Kafka topics.
 BUY, SELL = "BUY", "SELL"
 SIDES = ["BUY", "SELL"]
-REFERENCE_SYMBOLS = ["BTCUSDT", "ETHUSDT", "SOLUSDT"]
+FEED_SYMBOLS = ["BTCUSDT", "ETHUSDT", "SOLUSDT"]
 WHALE_TIERS = [("mega", 1_000_000.0), ("large", 500_000.0), ("medium", 100_000.0)]
 WHALE_TIER_ELSE = "small"
 TIER_ORDER = ["small", "medium", "large", "mega"]

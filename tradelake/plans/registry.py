@@ -436,7 +436,7 @@ def q_pct_b_signal(spark, sf):
 
 # ---- data quality ------------------------------------------------------------------
 
-from tradelake.functions import REFERENCE_SYMBOLS, SIDES, TIER_ORDER  # noqa: E402
+from tradelake.functions import FEED_SYMBOLS, SIDES, TIER_ORDER  # noqa: E402
 from tradelake.operators import quality as Q  # noqa: E402
 
 DQ_CHECKS = {
@@ -510,7 +510,7 @@ def _in_list(values):
 
 @register("dq_accepted_values", W(O.merge_ctes(O.silver_ctes(), O.whale_ctes(WHALE_THRESHOLD, p="l_")), f"""
   select 'stg_trades' as table_name, 'symbol' as column_name, cast(symbol as varchar) as value, count(*) as n
-  from stg_trades where symbol not in ({_in_list(REFERENCE_SYMBOLS)}) group by symbol
+  from stg_trades where symbol not in ({_in_list(FEED_SYMBOLS)}) group by symbol
   union all
   select 'stg_trades', 'side', side, count(*) from stg_trades
   where side not in ({_in_list(SIDES)}) group by side
@@ -520,7 +520,7 @@ def _in_list(values):
 def q_dq_accepted_values(spark, sf):
     stg = events_stg(spark, sf)
     return Q.union_all([
-        Q.accepted_values(stg, "stg_trades", "symbol", REFERENCE_SYMBOLS),
+        Q.accepted_values(stg, "stg_trades", "symbol", FEED_SYMBOLS),
         Q.accepted_values(stg, "stg_trades", "side", SIDES),
         Q.accepted_values(whale_mart(spark, sf), "mart_whale_trades", "whale_tier", TIER_ORDER),
     ])

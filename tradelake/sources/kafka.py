@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.functions import REFERENCE_SYMBOLS, kafka_topic
+from tradelake.functions import FEED_SYMBOLS, kafka_topic
 from tradelake.schema import BRONZE_COLUMNS
 
 
@@ -25,11 +25,11 @@ def kafka_envelope(trades: DataFrame) -> DataFrame:
     )
 
 
-def topics(symbols=REFERENCE_SYMBOLS) -> list[str]:
+def topics(symbols=FEED_SYMBOLS) -> list[str]:
     return [f"{s.lower()}_trades" for s in symbols]
 
 
-def source_options(bootstrap: str, symbols=REFERENCE_SYMBOLS, group: str = "tradelake-bronze",
+def source_options(bootstrap: str, symbols=FEED_SYMBOLS, group: str = "tradelake-bronze",
                    max_offsets_per_trigger: int | None = None) -> dict[str, str]:
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": ",".join(topics(symbols)),
             "startingOffsets": "earliest", "kafka.group.id": group, "failOnDataLoss": "false"}
