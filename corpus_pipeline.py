@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelake.llm import simhash, toxicity
+from tradelake.llm import mixing, packing, simhash, toxicity
 from tradelake.llm.common import stored, table
 
 
@@ -24,7 +24,18 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return simhash.keep_one(docs, shingle=3, max_bits=2)
 
 
-STAGES = [("toxicity", toxicity_stage), ("near_duplicates", near_dup_stage)]
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's target wants it."""
+    return mixing.mix(docs, weights=(3, 1, 2), share=1.5, max_epochs=2.0)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their training sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("toxicity", toxicity_stage), ("near_duplicates", near_dup_stage),
+          ("mixing", mixing_stage), ("packing", packing_stage)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelake.llm import simhash, toxicity
+from tradelake.llm import mixing, packing, simhash, toxicity
 from tradelake.llm.common import table
 
 
@@ -13,9 +13,25 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, labels))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op7_simhash": op7_simhash}
-SQL: dict[str, str] = {}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.taken_sizes(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_epochs=2.0)
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op4_packing": op4_packing,
+    "op7_simhash": op7_simhash,
+    "op10_mixing": op10_mixing,
+}
+SQL: dict[str, str] = {
+    "op10_mixing": mixing.mixing_sql((3, 1, 2), 1.5, 2.0),
+}
