@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelake.llm import mixing, packing, simhash, toxicity
+from tradelake.llm import line_dedup, mixing, packing, simhash, toxicity
 from tradelake.llm.common import stored, table
 
 
@@ -19,6 +19,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.filter_clean(docs, model)
 
 
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that repeat an earlier line; all rows stay."""
+    return line_dedup.drop_repeated_lines(docs, max_edits=2, min_chars=24)
+
+
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates."""
     return simhash.keep_one(docs, shingle=3, max_bits=2)
@@ -34,7 +39,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack_documents(docs)
 
 
-STAGES = [("toxicity", toxicity_stage), ("near_duplicates", near_dup_stage),
+STAGES = [("toxicity", toxicity_stage), ("line_dedup", line_dedup_stage), ("near_duplicates", near_dup_stage),
           ("mixing", mixing_stage), ("packing", packing_stage)]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelake.llm import mixing, packing, simhash, toxicity
+from tradelake.llm import line_dedup, mixing, packing, simhash, toxicity
 from tradelake.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"), max_edits=2, min_chars=24)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
@@ -29,6 +33,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op4_packing": op4_packing,
+    "op5_line_dedup": op5_line_dedup,
     "op7_simhash": op7_simhash,
     "op10_mixing": op10_mixing,
 }
