@@ -4,8 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradelake.llm import line_dedup, mixing, packing, simhash, toxicity
+from tradelake.llm import line_dedup, mixing, packing, simhash, token_counts, toxicity, url_filters, warc
 from tradelake.llm.common import table
+from tradelake.session import new_scratch_path
+
+# The rules of the URL query (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +23,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, labels))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -21,10 +35,21 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_classes(table(spark, sf_dir, "documents"), max_edits=2, min_chars=24)
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filters.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_pages(spark, path)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.taken_sizes(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_epochs=2.0)
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,11 +57,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_token_counts": op2_token_counts,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_url_filters": op6_url_filters,
     "op7_simhash": op7_simhash,
+    "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
 }
 SQL: dict[str, str] = {
+    "op6_url_filters": url_filters.judge_sql(URL_RULES),
+    "op9_warc": warc.round_trip_sql(),
     "op10_mixing": mixing.mixing_sql((3, 1, 2), 1.5, 2.0),
 }
