@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tradelake.llm import line_dedup, mixing, packing, simhash, token_counts, toxicity, url_filters, warc
+from tradelake.llm import (embedding_dedup, line_dedup, mixing, packing, simhash, token_counts, topk_search, toxicity,
+                           url_filters, warc)
 from tradelake.llm.common import table
 from tradelake.session import new_scratch_path
 
@@ -27,6 +29,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    queries = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return topk_search.top_k(docs, queries, k=10)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -44,6 +52,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -58,10 +70,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op3_topk_search": op3_topk_search,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_simhash": op7_simhash,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
 }
