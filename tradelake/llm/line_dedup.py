@@ -9,8 +9,10 @@ indexes of its own and the next shorter lengths with the substrings that can be
 that segment.  Lines that meet are verified by a banded bit-parallel edit
 distance over the part that is left without their common beginning.
 
-Index entries that more than ``hot`` lines share (a common template, say) are
-not paired up on one segment: their lines are cut once more, into
+Index entries that more than ``hot`` lines share (a common template, say) do not
+emit their pairs: the join itself compares letter histograms, which differ by
+two for an edit at most, and only lets through what can be near.  Where more
+than ``crowded`` lines share an entry, their lines are cut once more, into
 ``max_edits + 2`` segments of which two must be unchanged, and meet on pairs of
 segments.
 
@@ -130,32 +132,70 @@ def verified(pairs: DataFrame, max_edits: int) -> DataFrame:
     return found.where(F.col("edits") <= max_edits)
 
 
-def line_links(lines: DataFrame, max_edits: int = 2, hot: int = 200) -> DataFrame:
+BROADCAST_IDS = 500_000
+
+
+def chosen(lines: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``lines`` whose id is among ``ids`` (distinct); ids go to all
+    executors if they are few, so that texts are not shuffled for them."""
+    few = ids.count() <= BROADCAST_IDS
+    return lines.join(F.broadcast(ids) if few else ids, "id", "left_semi")
+
+
+def with_letters(lines: DataFrame, buckets: int = 32) -> DataFrame:
+    """Adds how many letters of the line fall into each of ``buckets`` hash
+    buckets, and what one edit can change there: two, or four where characters
+    of two code units are split."""
+    chars = "split(line, '')"
+    count = (f"transform(sequence(0, {buckets - 1}), k -> size(filter(cells, c -> c = k)))")
+    cells = F.expr(f"transform({chars}, c -> cast(pmod(xxhash64(c), {buckets}) as int))")
+    return (lines.withColumn("cells", cells).withColumn("letters", F.explode(F.array(F.expr(count))))
+            .withColumn("step", F.when(F.col("line").rlike(r"[\x{10000}-\x{10FFFF}]"), 4).otherwise(2)).drop("cells"))
+
+
+def met(entries: DataFrame, probes: DataFrame, letters: DataFrame, max_edits: int) -> DataFrame:
+    """Pairs (a, b) of ids that share a key and whose letters are near enough."""
+    left = entries.join(letters.select("id", "letters", "step"), "id")
+    right = probes.join(letters.select(F.col("id").alias("id2"), F.col("letters").alias("letters2"),
+                                       F.col("step").alias("step2")), "id2")
+    apart = F.expr("aggregate(zip_with(l.letters, r.letters2, (x, y) -> abs(x - y)), 0, (t, x) -> t + x)")
+    near = apart <= F.greatest(F.col("l.step"), F.col("r.step2")) * max_edits
+    pairs = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") != F.col("r.id2")) & near)
+    return pairs.select(F.least("l.id", "r.id2").alias("a"), F.greatest("l.id", "r.id2").alias("b")).distinct()
+
+
+def line_links(lines: DataFrame, max_edits: int = 2, hot: int = 16, crowded: int = 2_000) -> DataFrame:
     """Distinct lines (id, line, len) -> links (a, b, edits), a < b, each pair once."""
     if max_edits == 0:
         return lines.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0).alias("edits")).limit(0)
     entries = with_keys(lines, max_edits + 1, one_place(max_edits, False), "id")
     probes = with_keys(lines, max_edits + 1, one_place(max_edits, True), "id2")
-    busy = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot)
-                  .select("key"), "hot-segments")
-    calm = (entries.join(probes, "key").where("id <> id2").join(busy, "key", "left_anti"))
-    pairs = calm.select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct()
+    busy = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot), "hot-segments")
+    pairs = (entries.join(probes, "key").where("id <> id2").join(busy, "key", "left_anti")
+             .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
     if not busy.isEmpty():
-        stems = lines.join(entries.join(busy, "key", "left_semi").select("id").distinct(), "id", "left_semi")
-        seekers = lines.join(probes.join(busy, "key", "left_semi").select(F.col("id2").alias("id")).distinct(),
-                             "id", "left_semi")
-        more = (with_keys(stems, max_edits + 2, two_places(max_edits, False), "id")
-                .join(with_keys(seekers, max_edits + 2, two_places(max_edits, True), "id2"), "key")
-                .where("id <> id2").select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")))
-        pairs = pairs.unionByName(more).distinct()
-    texts = lines.select(F.col("id"), F.col("line"))
+        own = stored(entries.join(busy, "key"), "hot-entries")
+        seek = stored(probes.join(busy, "key"), "hot-probes")
+        ids = own.select("id").unionByName(seek.select(F.col("id2").alias("id"))).distinct()
+        some = stored(with_letters(chosen(lines, ids)), "hot-lines")
+        calm = F.col("n") <= crowded
+        pairs = pairs.unionByName(met(own.where(calm), seek.where(calm), some, max_edits))
+        stems, seekers = own.where(~calm).select("id").distinct(), seek.where(~calm).select(F.col("id2").alias("id")).distinct()
+        if not stems.isEmpty():
+            pairs = pairs.unionByName(met(
+                with_keys(chosen(some, stems), max_edits + 2, two_places(max_edits, False), "id"),
+                with_keys(chosen(some, seekers), max_edits + 2, two_places(max_edits, True), "id2"), some, max_edits))
+        pairs = pairs.distinct()
+    pairs = stored(pairs, "line-pairs")
+    texts = chosen(lines.select("id", "line"), pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+    texts = stored(texts, "line-texts")
     both = (pairs.join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
             .select(F.col("a").alias("id_a"), F.col("b").alias("id_b"),
                     F.col("line_a").alias("a"), F.col("line_b").alias("b")))
     return verified(both, max_edits).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "edits")
 
 
-def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 24, hot: int = 200,
+def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 24, hot: int = 16,
                  carry: tuple[str, ...] = ()) -> DataFrame:
     """Every line that takes part: doc_id, line_no (from 0), n_links (other line
     texts linked directly), class_doc and class_line (the first line of its
@@ -190,7 +230,7 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 24, hot:
                           *[named[c] for c in carry]))).alias("kept"))
 
 
-def drop_repeated_lines(docs: DataFrame, max_edits: int = 2, min_chars: int = 24, hot: int = 200) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, max_edits: int = 2, min_chars: int = 24, hot: int = 16) -> DataFrame:
     """``docs`` without the lines that repeat an earlier line (or nearly so);
     ``n_chars`` follows the text, all other columns and all rows stay."""
     uid, gone = clear_name(docs.columns, "uid"), clear_name(docs.columns, "gone")
