@@ -243,7 +243,7 @@ def decoded(blocks: DataFrame, with_payload: bool = False) -> DataFrame:
 def read_pages(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
     """Every page of the archives: page_id, payload_bytes, payload_digest,
     record_type and refers_to; a revisit takes both from the response it names."""
-    records = stored(read_records(spark, path), "warc-records")
+    records = read_records(spark, path)
     responses = stored(decoded(reassemble(records)), "warc-responses")
     shown = responses.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"),
                              F.lit(None).cast("string").alias("refers_to"),
