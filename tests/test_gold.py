@@ -129,3 +129,31 @@ def test_split_rank_hot_repeated_value(spark):
     b = ranking.rank_desc(df, ["g", "h"], "v", "r", "plain").select("id", "r")
     assert same(a, b)
     assert a.count() == df.count()
+
+
+def test_dust_trades_keep_their_price(spark):
+    from tradelake.operators.candles import ohlcv
+    from tradelake.operators.silver import stg_trades
+    from tests.conftest import bronze_rows, trade
+    c = ohlcv(stg_trades(bronze_rows(spark, [trade(price=0.00001, qty=0.000001)]))).first()
+    assert c.open == 0.00001 and c.vwap == 0.00001
+
+
+def test_exact_sums_are_near_plain_sums(spark):
+    from pyspark.sql import functions as F
+    from tests.conftest import SF_SMALL
+    from tradelake.plans.registry import events_candles, events_stg
+    plain = (events_stg(spark, SF_SMALL).groupBy("symbol", F.date_trunc("minute", "traded_at").alias("candle_time"))
+             .agg(F.sum(F.col("price") * F.col("quantity")).alias("money"), F.sum("quantity").alias("size")))
+    for r in events_candles(spark, SF_SMALL).join(plain, ["symbol", "candle_time"]).collect():
+        assert abs(r.vwap - r.money / r["size"]) < 1e-5 and abs(r.volume - r["size"]) < 1e-6
+
+
+def test_pivot_refuses_an_unlisted_symbol(spark):
+    import pytest
+    from tests.conftest import bronze_rows, trade
+    from tradelake.operators.silver import stg_trades
+    from tradelake.plans.serving import buy_pressure_pivot
+    stg = stg_trades(bronze_rows(spark, [trade(symbol="NEW")]))
+    with pytest.raises(Exception, match="symbol without a column: NEW"):
+        buy_pressure_pivot(stg, ["BTCUSDT"]).collect()

@@ -79,9 +79,11 @@ def test_compaction_keeps_rows(spark):
     path = new_scratch_path(spark, "bronze_small")
     tr = event_trades(spark, SF_SMALL)
     B.write_bronze(tr.repartition(8), path)
-    out = B.compact_bronze(spark, path, new_scratch_path(spark, "bronze_big"), files_per_partition=2)
+    out = B.compact_bronze(spark, path, new_scratch_path(spark, "bronze_big"))
     assert out.select(*BRONZE_COLUMNS).exceptAll(tr).count() == 0
     assert out.count() == tr.count()
+    some = B.compact_bronze(spark, path, new_scratch_path(spark, "bronze_day"), days=["2024-01-15"])
+    assert {(r.month, r.day) for r in some.select("month", "day").distinct().collect()} == {("01", "15")}
 
 
 def test_gold_table_and_listing(spark):
@@ -92,6 +94,37 @@ def test_gold_table_and_listing(spark):
     assert "sample_trades" in list_tables(spark, "gold")
 
 
+def test_rebuild_of_one_symbol_keeps_the_others(spark):
+    from tradelake.sources.tables import write_table
+    rows = spark.createDataFrame([("A", 1), ("B", 2)], "symbol string, v int")
+    write_table(spark, rows, "gold", "two_symbols", partition_by=["symbol"])
+    back = write_table(spark, spark.createDataFrame([("A", 9)], "symbol string, v int"), "gold", "two_symbols", partition_by=["symbol"])
+    assert sorted((r.symbol, r.v) for r in back.collect()) == [("A", 9), ("B", 2)]
+
+
+def test_every_unusable_value_is_a_reject(spark):
+    good = {"e": '"trade"', "s": '"X"', "t": "1", "p": '"1"', "q": '"1"', "T": "1", "m": "true"}
+    cases = {"bad_value:s": {"s": "null"}, "bad_number:t": {"t": '"abc"'}, "bad_number:p": {"p": '"NaN"'},
+             "bad_number:q": {"q": '"Infinity"'}, "bad_number:T": {"T": '"zzz"'}, "out_of_range:T": {"T": "1704103200000000"},
+             "bad_value:m": {"m": '"maybe"'}}
+    texts = ["{" + ",".join(f'"{k}":{v}' for k, v in (good | change).items()) + "}" for change in cases.values()]
+    rejected = [r.reject_reason for r in R.parse_rejects(frames(spark, texts)).collect()]
+    assert sorted(rejected) == sorted(cases)
+
+
+def test_source_fails_on_lost_offsets_by_default():
+    assert source_options("b:9092")["failOnDataLoss"] == "true"
+    assert source_options("b:9092", fail_on_data_loss=False)["failOnDataLoss"] == "false"
+
+
+def test_bronze_types_are_enforced(spark):
+    path = new_scratch_path(spark, "bronze_typed")
+    tr = event_trades(spark, SF_SMALL).limit(5)
+    B.write_bronze(tr.withColumn("trade_id", F.col("trade_id").cast("string")), path)
+    assert B.read_bronze(spark, path).schema["trade_id"].dataType.simpleString() == "bigint"
+    assert B.read_bronze(spark, path).count() == 5
+
+
 def test_time_range_filter_prunes_days(spark):
     path = new_scratch_path(spark, "bronze_range")
     B.write_bronze(event_trades(spark, SF_SMALL), path)

@@ -93,8 +93,11 @@ def order_key(ts: Column, tie: Column) -> Column:
     ``min_by/max_by`` on a struct ordering falls back to sort-based
     aggregation; a decimal key keeps them in the hash aggregate with its
     map-side partial step.  micros * 10^20 + (id + 2^63) orders exactly like
-    the pair (micros, id) and fits 38 digits for any timestamp before year 5000.
+    the pair (micros, id) and fits 38 digits for any timestamp before year 5000;
+    times beyond count as the last one that fits, then go by id.
     """
     dec = "decimal(38,0)"
-    return (F.unix_micros(ts).cast(dec) * F.lit(_SCALE).cast(dec)
+    bound = 95_000_000_000_000_000
+    micros = F.least(F.greatest(F.unix_micros(ts), F.lit(-bound)), F.lit(bound))
+    return (micros.cast(dec) * F.lit(_SCALE).cast(dec)
             + (tie.cast(dec) + F.lit(_SHIFT).cast(dec)))

@@ -15,12 +15,18 @@ from tradelake.functions import BUY, SELL, order_key, round_half_away, safe_div,
 from tradelake.schema import OHLCV_COLUMNS
 
 
-# Fixed-point scales of the exact sums: quantities and price*quantity carry
-# up to 10 decimals, USD volumes are rounded to 6 at the trade level.
+# Fixed-point scales of the exact sums: quantities carry up to 10 decimals, USD
+# volumes are rounded to 6 at the trade level.  Price times quantity is a
+# decimal product of 8 decimals each (what exchanges quote), so that dust trades
+# do not vanish.
 QTY_SCALE = 10
 USD_SCALE = 6
 
 
+def notional(price: Column, qty: Column) -> Column:
+    return price.cast("decimal(16,8)") * qty.cast("decimal(21,8)")
+
+
 def candle_aggs(price="price", qty="quantity", usd="volume_usd", side="side",
                 ts="traded_at", tie="trade_id") -> list[Column]:
     """The aggregate list, shared by batch and streaming candles."""
@@ -40,7 +46,7 @@ def candle_aggs(price="price", qty="quantity", usd="volume_usd", side="side",
         round_half_away(xsum(F.when(is_buy, q), QTY_SCALE), 8).alias("buy_volume"),
         round_half_away(xsum(F.when(is_sell, q), QTY_SCALE), 8).alias("sell_volume"),
         round_half_away(xsum(F.when(is_buy, q).otherwise(-q), QTY_SCALE), 8).alias("volume_delta"),
-        round_half_away(safe_div(xsum(p * q, QTY_SCALE), xsum(q, QTY_SCALE)), 6).alias("vwap"),
+        round_half_away(safe_div(F.sum(notional(p, q)).cast("double"), xsum(q, QTY_SCALE)), 6).alias("vwap"),
     ]
 
 

@@ -30,21 +30,40 @@ def whale_base(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD) ->
             .withColumn("whale_tier", whale_tier(F.col("volume_usd"))))
 
 
+def hourly_context(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD) -> DataFrame:
+    """Per (symbol, hour): the totals of all trades and of its whales, in one
+    aggregate.  Write it before joining: a join to a written table is one that
+    AQE can split where an hour holds very many whales."""
+    v, s = F.col("volume_usd"), F.col("side")
+    big = v >= F.lit(float(threshold))
+    return (trades.groupBy("symbol", F.date_trunc("hour", "traded_at").alias("hour"))
+            .agg(xsum("volume_usd", 6).alias("hour_total_volume_usd"),
+                 F.count(F.lit(1)).alias("hour_total_trades"),
+                 F.count_if(big).alias("hour_whale_count"),
+                 round_half_away(xsum(F.when(big, v), 6), 2).alias("hour_whale_volume"),
+                 round_half_away(xsum(F.when(big & (s == F.lit(BUY)), v).when(big, -v), 6), 2).alias("hour_net_pressure"),
+                 F.count_if(big & (whale_tier(v) == F.lit("mega"))).alias("hour_mega_count"))
+            .where(F.col("hour_whale_count") > 0))
+
+
+def with_hour(whales: DataFrame, context: DataFrame) -> DataFrame:
+    """Whales beside their hour: one join for all measures of the hour."""
+    return (whales.join(context, ["symbol", "hour"], "left")
+            .withColumn("pct_of_hour_volume", round_half_away(
+                safe_div(F.col("volume_usd"), F.col("hour_total_volume_usd")) * F.lit(100.0), 4)))
+
+
 def whale_trades(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD,
-                 rank_strategy: str = "split") -> DataFrame:
-    """Whales with share of hour volume, tier and rank among the hour's whales.
+                 rank_strategy: str = "split", context: DataFrame | None = None) -> DataFrame:
+    """Whales with share of hour volume, tier, rank among the hour's whales and
+    the hour's whale measures.
 
     The threshold filter runs before the rank (rank is among whales only) and
     on the left side of the join only: hour totals cover all trades.
     """
     ranked = rank_desc(whale_base(trades, threshold), ["symbol", "hour"], "volume_usd",
                        "rank_in_hour", rank_strategy)
-    ctx = ranked.join(hourly_market(trades), ["symbol", "hour"], "left")
-    ranked = ctx.withColumn("pct_of_hour_volume", round_half_away(
-        safe_div(F.col("volume_usd"), F.col("hour_total_volume_usd")) * F.lit(100.0), 4))
-    return ranked.select("trade_id", "symbol", "traded_at", "price", "quantity", "volume_usd",
-                         "side", "hour", "hour_total_volume_usd", "hour_total_trades",
-                         "pct_of_hour_volume", "whale_tier", "rank_in_hour")
+    return with_hour(ranked, hourly_context(trades, threshold) if context is None else context)
 
 
 def hourly_whale_summary(whales: DataFrame) -> DataFrame:
@@ -65,17 +84,7 @@ def hourly_whale_summary(whales: DataFrame) -> DataFrame:
 
 
 def mart_whale_trades(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD,
-                      rank_strategy: str = "split") -> DataFrame:
-    """Each whale with its hour's whale summary (right side grouped by the key).
-
-    The summary is aggregated from the plain whale rows, not from the ranked
-    and joined ones, so the rank and context stages run once.
-    """
-    w = whale_trades(trades, threshold, rank_strategy)
-    s = hourly_whale_summary(whale_base(trades, threshold)).select(
-        "symbol", "hour",
-        F.col("whale_trade_count").alias("hour_whale_count"),
-        F.col("whale_volume_usd").alias("hour_whale_volume"),
-        F.col("whale_net_pressure").alias("hour_net_pressure"),
-        F.col("mega_trades").alias("hour_mega_count"))
-    return w.join(s, ["symbol", "hour"], "left").select(*MART_WHALE_COLUMNS)
+                      rank_strategy: str = "split", context: DataFrame | None = None) -> DataFrame:
+    """Each whale with its hour.  ``context``: ``hourly_context`` of the same
+    trades, if it is written already."""
+    return whale_trades(trades, threshold, rank_strategy, context).select(*MART_WHALE_COLUMNS)

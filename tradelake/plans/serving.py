@@ -170,9 +170,12 @@ def buy_pressure_pivot(stg: DataFrame, symbols: list[str]) -> DataFrame:
     The panel this serves draws symbols as rows and hours as columns; hours
     grow without bound, so the scalable frame keeps hours as rows and the
     (known, small) symbol list as columns.  Values are passed, so no extra
-    job discovers them.
+    job discovers them; a symbol that is not among them is an error, not a
+    column that silently lacks.  ``buy_pressure`` has any number of symbols.
     """
-    return (buy_pressure(stg).groupBy("hour").pivot("symbol", symbols)
+    listed = F.when(F.col("symbol").isin(*symbols), F.col("symbol")).otherwise(
+        F.raise_error(F.concat(F.lit("symbol without a column: "), F.coalesce("symbol", F.lit("null")))))
+    return (buy_pressure(stg).withColumn("symbol", listed).groupBy("hour").pivot("symbol", symbols)
             .agg(F.first("buy_pct"))
             .withColumn("hour_label", F.date_format("hour", "HH:mm")))   # display only; repeats daily
 

@@ -66,3 +66,10 @@ MART_WHALE_COLUMNS = [
     "hour_whale_count", "hour_whale_volume", "hour_net_pressure",
     "hour_mega_count",
 ]
+
+# Candles as the incremental refresh keeps them, in (symbol, day) directories.
+CANDLES_READ_SCHEMA = T.StructType(
+    [T.StructField(c, T.TimestampType() if c == "candle_time" else T.StringType() if c == "symbol"
+                   else T.LongType() if c.endswith("_count") else T.DoubleType()) for c in OHLCV_COLUMNS]
+    + [T.StructField("day", T.StringType())]
+)

@@ -47,13 +47,10 @@ def build_session(master: str | None = None, app_name: str = "tradelake",
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to a session created elsewhere."""
-    for k, v in SESSION_CONF.items():
-        try:
-            if spark.conf.get(k, None) != v:
-                spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: keep theirs
-            pass
+    """Make a session created elsewhere use UTC, which every bucket relies on
+    (an error if that is not possible); its other settings stay as they are."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
@@ -61,8 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, written tables and stream state.
 
     Taken from the session (``spark.checkpoint.dir``, as set by the cluster).
-    Only when nothing is configured -- local runs and tests -- a private
-    folder is created and registered, so later calls agree on it.
+    Only when nothing is configured and the master is local -- tests -- a
+    private folder is created and registered, so later calls agree on it.  On a
+    cluster executors could not see such a folder, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -71,6 +69,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:
             root = None
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tradelake-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.schema import BRONZE_COLUMNS, BRONZE_PARTITIONS, BRONZE_READ_SCHEMA
+from tradelake.schema import BRONZE_PARTITIONS, BRONZE_READ_SCHEMA, BRONZE_SCHEMA
 
 
 def with_partition_columns(trades: DataFrame) -> DataFrame:
@@ -23,21 +23,29 @@ def with_partition_columns(trades: DataFrame) -> DataFrame:
     })
 
 
-def write_bronze(trades: DataFrame, path: str, mode: str = "append") -> None:
-    """Append trades under their (symbol, year, month, day) directories.
+def write_bronze(trades: DataFrame, path: str, mode: str = "append", batch_id: int | None = None) -> None:
+    """Append trades under their (symbol, year, month, day) directories, with
+    the types of the bronze schema (a value that does not fit is an error).
 
     Rows are sorted by directory within each task, so a task keeps one open
     file at a time; it never shuffles (small files are the compactor's job).
+    With ``batch_id`` each directory gets one more level, ``batch=<id>``, which a
+    replay of that micro-batch replaces instead of adding to it.
     """
-    (with_partition_columns(trades.select(*BRONZE_COLUMNS))
-     .sortWithinPartitions(*BRONZE_PARTITIONS)
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_SCHEMA.fields]
+    rows, keys = with_partition_columns(trades.select(*typed)), list(BRONZE_PARTITIONS)
+    if batch_id is not None:
+        rows, keys, mode = rows.withColumn("batch", F.lit(batch_id)), [*keys, "batch"], "overwrite"
+    (rows.sortWithinPartitions(*BRONZE_PARTITIONS)
      .write.mode(mode).option("compression", "snappy")
-     .partitionBy(*BRONZE_PARTITIONS).parquet(path))
+     .option("partitionOverwriteMode", "static" if batch_id is None else "dynamic")
+     .partitionBy(*keys).parquet(path))
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Scan with a fixed schema: partition values stay text ("01")."""
-    return spark.read.schema(BRONZE_READ_SCHEMA).option("basePath", path).parquet(path)
+    return (spark.read.schema(BRONZE_READ_SCHEMA).option("basePath", path).parquet(path)
+            .select(*BRONZE_READ_SCHEMA.fieldNames()))
 
 
 def bronze_view(spark: SparkSession, path: str, name: str = "trades") -> DataFrame:
@@ -70,20 +78,22 @@ def time_range_filter(start_ms: int, end_ms: int):
             & (F.col("timestamp") < F.lit(end_ms)))
 
 
-def compact_bronze(spark: SparkSession, src: str, dst: str, files_per_partition: int = 4,
+def compact_bronze(spark: SparkSession, src: str, dst: str, days: list[str] | None = None,
                    max_records_per_file: int = 5_000_000) -> DataFrame:
     """Rewrite bronze into few large, time-sorted files per directory.
 
-    Rows are shuffled on (directory, salt) where salt spreads one directory
-    over ``files_per_partition`` tasks, so a hot symbol-day is written by
-    several tasks instead of one.  Sorting by trade time inside each file
-    gives tight row-group min/max for time filters.
+    The rebalance on the directory columns lets AQE merge small directories
+    into one task and split a hot symbol-day by its size, so files follow
+    ``advisoryPartitionSizeInBytes``.  ``days`` (yyyy-mm-dd) restricts the run to
+    some day directories.  Sorting by trade time inside each file gives tight
+    row-group min/max for time filters.
     """
-    salt = F.pmod(F.xxhash64("trade_id", "timestamp"), F.lit(files_per_partition))
-    (read_bronze(spark, src)
-     .repartition(*[F.col(c) for c in BRONZE_PARTITIONS], salt)
+    rows = read_bronze(spark, src)
+    if days is not None:
+        rows = rows.where(F.concat_ws("-", "year", "month", "day").isin(*days))
+    (rows.hint("rebalance", *BRONZE_PARTITIONS)
      .sortWithinPartitions(*BRONZE_PARTITIONS, "timestamp", "trade_id")
-     .write.mode("overwrite").option("compression", "snappy")
-     .option("maxRecordsPerFile", max_records_per_file)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if days is not None else "static")
+     .option("compression", "snappy").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*BRONZE_PARTITIONS).parquet(dst))
     return read_bronze(spark, dst)

@@ -30,9 +30,12 @@ def topics(symbols=FEED_SYMBOLS) -> list[str]:
 
 
 def source_options(bootstrap: str, symbols=FEED_SYMBOLS, group: str = "tradelake-bronze",
-                   max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+                   max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Options of the source.  Offsets that retention has removed stop the
+    query, unless ``fail_on_data_loss`` is switched off on purpose."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": ",".join(topics(symbols)),
-            "startingOffsets": "earliest", "kafka.group.id": group, "failOnDataLoss": "false"}
+            "startingOffsets": "earliest", "kafka.group.id": group,
+            "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
@@ -46,3 +49,10 @@ def read_kafka_stream(spark: SparkSession, bootstrap: str, **kw) -> DataFrame:
 
 def write_kafka(trades: DataFrame, bootstrap: str) -> None:
     kafka_envelope(trades).write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save()
+
+
+def write_kafka_stream(trades: DataFrame, bootstrap: str, checkpoint: str, processing_time: str = "5 seconds"):
+    """Streaming sink with per-row topic routing; returns the started query."""
+    return (kafka_envelope(trades).writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=processing_time).start())

@@ -4,9 +4,9 @@ A frame is JSON text, either bare ``{"e","s","t","p","q","T","m"}`` or
 wrapped as ``{"stream": ..., "data": {...}}``.  Parsing is one ``from_json``
 into a string map per frame (the keys "t" and "T" differ only by case, which
 a struct field lookup would treat as ambiguous), then typed extraction.
-A frame that is not a JSON object, lacks a required key, or has a price or
-quantity that is not a number goes to the rejects with a reason; the batch
-goes on.  No Python runs per row.
+A frame that is not a JSON object, lacks a required key, or has a symbol, id,
+price, quantity, time or maker flag that cannot be used goes to the rejects with
+a reason; the batch goes on.  No Python runs per row.
 """
 
 from __future__ import annotations
@@ -21,13 +21,12 @@ from tradelake.sources.adapters import iso_utc
 MAP = "map<string,string>"
 
 
-def frames_from_trades(trades: DataFrame, broken_symbols: list[str] | None = None) -> DataFrame:
+def frames_from_trades(trades: DataFrame) -> DataFrame:
     """Exchange-style frames from bronze-shaped trades (for tests and replays).
 
     BUY trades come wrapped in a combined-stream envelope, SELL trades bare;
     price and quantity are quoted text as on the wire.  ``timestamp`` is the
-    arrival time (the trade time), as a broker would stamp it.  Frames of
-    ``broken_symbols`` are cut in half to exercise the reject path.
+    arrival time (the trade time), as a broker would stamp it.
     """
     inner = F.struct(
         F.col("event_type").alias("e"), F.col("symbol").alias("s"), F.col("trade_id").alias("t"),
@@ -35,15 +34,31 @@ def frames_from_trades(trades: DataFrame, broken_symbols: list[str] | None = Non
         F.col("timestamp").alias("T"), (~F.col("is_buyer")).alias("m"))
     wrapped = F.to_json(F.struct(F.concat(F.lower("symbol"), F.lit("@trade")).alias("stream"),
                                  inner.alias("data")))
-    bare = F.to_json(inner)
-    text = F.when(F.col("side") == F.lit(BUY), wrapped).otherwise(bare)
-    out = trades.select(text.alias("value"), "symbol",
-                        F.timestamp_millis("timestamp").alias("timestamp"))
-    if broken_symbols:
-        half = F.expr("substring(value, 1, cast(length(value) / 2 as int))")
-        out = out.withColumn("value", F.when(F.col("symbol").isin(*broken_symbols), half)
-                             .otherwise(F.col("value")))
-    return out.select("value", "timestamp")
+    text = F.when(F.col("side") == F.lit(BUY), wrapped).otherwise(F.to_json(inner))
+    return trades.select(text.alias("value"), F.timestamp_millis("timestamp").alias("timestamp"))
+
+
+# One way to damage a frame for each reject reason: reason -> pattern, replacement.
+DAMAGES = {
+    "malformed_json": (r"^(.*)\}$", "$1"),
+    "malformed_envelope": (r"\"data\":\{.*\}\}$", "\"data\":null}"),
+    "missing_field:q": (r"\"q\":", "\"qty\":"),
+    "bad_value:s": (r"\"s\":\"[^\"]*\"", "\"s\":null"),
+    "bad_number:t": (r"\"t\":\d+", "\"t\":\"abc\""),
+    "bad_number:p": (r"\"p\":\"[^\"]*\"", "\"p\":\"NaN\""),
+    "bad_number:q": (r"\"q\":\"[^\"]*\"", "\"q\":\"many\""),
+    "bad_number:T": (r"\"T\":\d+", "\"T\":\"zzz\""),
+    "out_of_range:T": (r"\"T\":(\d+)", "\"T\":$1000000"),
+    "bad_value:m": (r"\"m\":(true|false)", "\"m\":\"maybe\""),
+}
+
+
+def damaged_frames(frames: DataFrame) -> DataFrame:
+    """A damaged copy of every frame for every reason that applies to it, to
+    exercise the reject path without giving up any good frame."""
+    broken = F.array(*[F.regexp_replace("value", pattern, to) for pattern, to in DAMAGES.values()])
+    return (frames.select(F.col("value").alias("whole"), "timestamp", F.explode(broken).alias("value"))
+            .where(F.col("whole") != F.col("value")).select("value", "timestamp"))
 
 
 def _parsed(frames: DataFrame, value_col: str = "value") -> DataFrame:
@@ -64,8 +79,22 @@ def _reason() -> Column:
     return (F.when(F.col("_outer").isNull(), F.lit("malformed_json"))
             .when(m.isNull(), F.lit("malformed_envelope"))
             .when(first_missing.isNotNull(), F.concat(F.lit("missing_field:"), first_missing))
-            .when(m["p"].try_cast("double").isNull(), F.lit("bad_number:p"))
-            .when(m["q"].try_cast("double").isNull(), F.lit("bad_number:q")))
+            .when(F.coalesce(m["s"], F.lit("")) == "", F.lit("bad_value:s"))
+            .when(m["t"].try_cast("long").isNull(), F.lit("bad_number:t"))
+            .when(~finite(m["p"]), F.lit("bad_number:p"))
+            .when(~finite(m["q"]), F.lit("bad_number:q"))
+            .when(m["T"].try_cast("long").isNull(), F.lit("bad_number:T"))
+            .when(~m["T"].try_cast("long").between(0, LAST_MS), F.lit("out_of_range:T"))
+            .when(m["m"].isNotNull() & m["m"].try_cast("boolean").isNull(), F.lit("bad_value:m")))
+
+
+LAST_MS = 253_402_300_799_999   # the last millisecond of the year 9999
+
+
+def finite(text: Column) -> Column:
+    """Whether a text is a number, and neither NaN nor infinite."""
+    v = text.try_cast("double")
+    return F.coalesce(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), F.lit(False))
 
 
 def parse_with_rejects(frames: DataFrame, value_col: str = "value",

@@ -14,17 +14,26 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 def write_table(spark: SparkSession, df: DataFrame, db: str, table: str,
                 partition_by: list[str] | None = None) -> DataFrame:
-    """Full rebuild of ``db.table`` (the gold materialisation), then read back.
+    """Rebuild ``db.table`` (the gold materialisation), then read it back.
 
-    With ``partition_by`` and dynamic partition overwrite, a rebuild of a few
-    symbols replaces only their directories.
+    Without ``partition_by``, or where the table is new, it is written whole.
+    With ``partition_by`` an existing table keeps the partitions that ``df``
+    does not hold: a rebuild of a few symbols replaces their directories only.
     """
     ensure_database(spark, db)
-    w = df.write.mode("overwrite").format("parquet")
+    name = f"{db}.{table}"
+    path = scratch_path(spark, "warehouse", f"{db}.db", table)
+    w = df.write.mode("overwrite")
+    if partition_by and spark.catalog.tableExists(name):
+        w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+        if spark.conf.get("spark.sql.catalogImplementation") == "hive":    # its catalog lists partitions
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(name)
+        return spark.table(name)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.option("path", scratch_path(spark, "warehouse", f"{db}.db", table)).saveAsTable(f"{db}.{table}")
-    return spark.table(f"{db}.{table}")
+    w.format("parquet").option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def list_tables(spark: SparkSession, db: str) -> list[str]:

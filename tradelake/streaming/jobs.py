@@ -17,6 +17,8 @@ arrival.  They agree whenever copies arrive in ingestion order.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,7 @@ from tradelake.functions import round_half_away, safe_div, xsum
 from tradelake.functions.expressions import DEFAULT_WHALE_THRESHOLD
 from tradelake.operators.candles import candle_aggs
 from tradelake.operators.silver import DEDUP_KEYS, clean_trades
-from tradelake.operators.whales import whale_filter
+from tradelake.operators.whales import whale_base, whale_filter, with_hour
 from tradelake.schema import BRONZE_COLUMNS, BRONZE_READ_SCHEMA, OHLCV_COLUMNS
 from tradelake.sources.bronze import write_bronze
 from tradelake.sources.raw import parse_with_rejects
@@ -34,6 +36,9 @@ from tradelake.sources.raw import parse_with_rejects
 # maxFilesPerTrigger), sized to the cluster rather than to a row count.
 FLUSH_SECONDS = 30
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_START = threading.Lock()
+
 
 def frame_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Raw frames from text files (one JSON frame per line); arrival = now."""
@@ -50,15 +55,20 @@ def bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
     return r.load(path).select(*BRONZE_COLUMNS)
 
 
+def _write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
+    """Rows of one micro-batch in a directory of its own: a replay replaces it."""
+    (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
 def _ingest_batch(bronze_path: str, rejects_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_with_rejects(batch).persist()
         try:
             good = parsed.where(F.col("reject_reason").isNull()).select(*BRONZE_COLUMNS)
-            write_bronze(good, bronze_path)
-            (parsed.where(F.col("reject_reason").isNotNull())
-             .select("raw", "reject_reason", "ingested_at", F.lit(batch_id).alias("batch_id"))
-             .write.mode("append").parquet(rejects_path))
+            write_bronze(good, bronze_path, batch_id=batch_id)
+            _write_batch(parsed.where(F.col("reject_reason").isNotNull())
+                         .select("raw", "reject_reason", "ingested_at"), batch_id, rejects_path)
         finally:
             parsed.unpersist()
     return run
@@ -66,9 +76,9 @@ def _ingest_batch(bronze_path: str, rejects_path: str):
 
 def bronze_ingest(frames: DataFrame, bronze_path: str, rejects_path: str, checkpoint: str,
                   processing_time: str | None = f"{FLUSH_SECONDS} seconds", available_now: bool = False):
-    """Start the frames -> bronze query.  Delivery is at-least-once per batch
-    (a batch replayed after a crash may append again); silver dedup removes
-    such copies, as it removes broker replays."""
+    """Start the frames -> bronze query.  Every batch writes directories that
+    carry its id and replaces them if it is replayed after a crash, so a row is
+    delivered once; copies that the broker delivers twice are left to dedup."""
     w = frames.writeStream.foreachBatch(_ingest_batch(bronze_path, rejects_path)).option(
         "checkpointLocation", checkpoint)
     if available_now:
@@ -103,8 +113,13 @@ def stream_hourly(minute_candles: DataFrame) -> DataFrame:
     return (minute_candles.groupBy("symbol", hour.alias("h"))
             .agg(round_half_away(safe_div(xsum("volume_usd", 2), xsum("volume", 8)), 6).alias("vwap"),
                  round_half_away(xsum("volume_usd", 2), 2).alias("total_volume_usd"),
-                 F.sum("trade_count").alias("trade_count"))
-            .select("symbol", F.col("h.start").alias("hour"), "vwap", "total_volume_usd", "trade_count"))
+                 round_half_away(xsum("volume", 8), 8).alias("total_volume"),
+                 F.sum("trade_count").alias("trade_count"),
+                 F.max("high").alias("high"), F.min("low").alias("low"),
+                 F.min_by("open", "candle_time").alias("open"), F.max_by("close", "candle_time").alias("close"),
+                 round_half_away(F.max("high") - F.min("low"), 6).alias("price_range"))
+            .select("symbol", F.col("h.start").alias("hour"), "vwap", "total_volume_usd", "total_volume",
+                    "trade_count", "high", "low", "open", "close", "price_range"))
 
 
 def whale_alerts(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD) -> DataFrame:
@@ -116,11 +131,11 @@ def write_append(df: DataFrame, path: str, checkpoint: str, available_now: bool
                  partition_by: list[str] | None = None, state_partitions: int | None = None):
     """File sink: exactly-once files through the sink's own commit log.
 
-    Stateful operators keep one state store per shuffle partition, fixed
-    when the checkpoint is created.  ``state_partitions`` defaults to the
-    cluster's parallelism (one state task per core) instead of whatever the
-    session's batch setting is; the query runs on a clone of the session
-    taken at start, so the setting is restored right after.
+    Stateful operators keep one RocksDB state store (off the heap) per shuffle
+    partition.  Their number is fixed when the checkpoint is created, so give
+    ``state_partitions`` the parallelism the job is to have at its largest; the
+    default, the cluster's parallelism now, is for runs that end by themselves.
+    Starts are serialised, and the session's own settings are put back.
     """
     spark = df.sparkSession
     w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
@@ -129,24 +144,24 @@ def write_append(df: DataFrame, path: str, checkpoint: str, available_now: bool
     if available_now:
         w = w.trigger(availableNow=True)
     n = state_partitions or max(1, spark.sparkContext.defaultParallelism)
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        return w.start(path)
-    finally:
-        spark.conf.set(key, before)
+    settings = {"spark.sql.shuffle.partitions": str(n), "spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    with _START:  # the query takes its settings from the session as it starts
+        before = {k: spark.conf.get(k, None) for k in settings}
+        try:
+            for k, v in settings.items():
+                spark.conf.set(k, v)
+            return w.start(path)
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def whale_context_batch(hourly_market_path: str, out_path: str,
                         threshold: float = DEFAULT_WHALE_THRESHOLD):
     """``foreachBatch`` body: join the batch's whales to the hourly table as
-    it is now (re-read each batch, so it sees the latest rebuild)."""
+    it is now (re-read each batch, so it sees the latest rebuild).  A replayed
+    batch replaces what it wrote."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        hm = spark.read.parquet(hourly_market_path)
-        w = whale_filter(batch, threshold).withColumn("hour", F.date_trunc("hour", "traded_at"))
-        (w.join(hm, ["symbol", "hour"], "left")
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(out_path))
+        hourly = batch.sparkSession.read.parquet(hourly_market_path)
+        _write_batch(with_hour(whale_base(batch, threshold), hourly), batch_id, out_path)
     return run
