@@ -291,6 +291,16 @@ def q_kpi(spark, sf):
     return S.kpi(events_candles(spark, sf))
 
 
+KPI_24H = """
+  select c.* from candles c join (select symbol, max(candle_time) as newest from candles group by symbol) n using (symbol)
+  where c.candle_time > n.newest - interval 24 hours"""
+
+
+@register("kpi_24h", W(O.candle_ctes() + [("recent", KPI_24H)], _kpi_sql("recent")))
+def q_kpi_24h(spark, sf):
+    return S.kpi(events_candles(spark, sf), hours=24)
+
+
 @register("last_candles", W(O.candle_ctes(), f"""
   select candle_time, open, high, low, close, volume_usd, vwap, volume_delta,
          buy_volume, sell_volume, close >= open as is_bull
@@ -483,7 +493,7 @@ def q_dq_not_null(spark, sf):
     return Q.union_all([Q.not_null(t[name], name, cols) for name, cols in DQ_CHECKS.items()])
 
 
-@register("dq_unique", W(O.merge_ctes(O.silver_ctes("lineitem", p="l_")), """
+@register("dq_unique", W(O.whale_ctes(WHALE_THRESHOLD, p="l_"), """
   select 'bronze_trades' as table_name, 'symbol,trade_id' as key_columns,
          concat_ws('|', symbol, cast(trade_id as varchar)) as key_value, count(*) as n
   from l_bronze group by symbol, trade_id having count(*) > 1
@@ -492,11 +502,20 @@ def q_dq_not_null(spark, sf):
   from l_stg_trades group by symbol, trade_id having count(*) > 1
   union all
   select 'stg_trades', 'trade_id', cast(trade_id as varchar), count(*)
-  from l_stg_trades group by trade_id having count(*) > 1"""))
+  from l_stg_trades group by trade_id having count(*) > 1
+  union all
+  select 'bronze_trades', 'trade_id', cast(trade_id as varchar), count(*)
+  from l_bronze group by trade_id having count(*) > 1
+  union all
+  select 'mart_whale_trades', 'trade_id', cast(trade_id as varchar), count(*)
+  from l_mart_whale_trades group by trade_id having count(*) > 1"""))
 def q_dq_unique(spark, sf):
     bronze = lineitem_trades(spark, sf)
-    stg = stg_trades(bronze)
+    stg = cut(stg_trades(bronze))
     return Q.union_all([
+        Q.unique(bronze, "bronze_trades", ["trade_id"]),
+        # the mart has one row for each whale trade, so its ids are those of the filter
+        Q.unique(whales.whale_filter(stg, WHALE_THRESHOLD), "mart_whale_trades", ["trade_id"]),
         Q.unique(bronze, "bronze_trades", ["symbol", "trade_id"]),
         Q.unique(stg, "stg_trades", ["symbol", "trade_id"]),
         Q.unique(stg, "stg_trades", ["trade_id"]),   # the id-only form; ids repeat across symbols
@@ -515,13 +534,26 @@ def _in_list(values):
   where side not in ({_in_list(SIDES)}) group by side
   union all
   select 'mart_whale_trades', 'whale_tier', whale_tier, count(*) from l_mart_whale_trades
-  where whale_tier not in ({_in_list(TIER_ORDER)}) group by whale_tier"""))
+  where whale_tier not in ({_in_list(TIER_ORDER)}) group by whale_tier
+  union all
+  select 'mart_whale_trades', 'side', side, count(*) from l_mart_whale_trades
+  where side not in ({_in_list(SIDES)}) group by side
+  union all
+  select 'bronze_trades', 'symbol', symbol, count(*) from bronze
+  where symbol not in ({_in_list(FEED_SYMBOLS)}) group by symbol
+  union all
+  select 'bronze_trades', 'side', side, count(*) from bronze
+  where side not in ({_in_list(SIDES)}) group by side"""))
 def q_dq_accepted_values(spark, sf):
-    stg = events_stg(spark, sf)
+    stg, bronze = cut(events_stg(spark, sf)), event_trades(spark, sf)
+    big = whales.whale_base(lineitem_stg(spark, sf), WHALE_THRESHOLD)   # tier and side as the mart has them
     return Q.union_all([
+        Q.accepted_values(bronze, "bronze_trades", "symbol", FEED_SYMBOLS),
+        Q.accepted_values(bronze, "bronze_trades", "side", SIDES),
+        Q.accepted_values(big, "mart_whale_trades", "side", SIDES),
+        Q.accepted_values(big, "mart_whale_trades", "whale_tier", TIER_ORDER),
         Q.accepted_values(stg, "stg_trades", "symbol", FEED_SYMBOLS),
         Q.accepted_values(stg, "stg_trades", "side", SIDES),
-        Q.accepted_values(whale_mart(spark, sf), "mart_whale_trades", "whale_tier", TIER_ORDER),
     ])
 
 
@@ -563,7 +595,7 @@ def q_dq_range(spark, sf):
     return Q.union_all([
         Q.range_check(stg, "stg_trades", positive),
         Q.range_check(bronze, "bronze_trades", positive),
-        Q.range_check(whale_mart(spark, sf), "mart_whale_trades",
+        Q.range_check(whales.whale_base(lineitem_stg(spark, sf), WHALE_THRESHOLD), "mart_whale_trades",
                       {"volume_at_least_threshold": F.col("volume_usd") >= F.lit(WHALE_THRESHOLD)}),
     ])
 
@@ -646,6 +678,15 @@ def q_bronze_partition_prune(spark, sf):
     return B.read_bronze(spark, written_bronze(spark, sf)).where(B.day_filter(PRUNE_SYMBOL, PRUNE_DAY))
 
 
+RANGE_MS = (1_705_276_800_000, 1_705_276_800_000 + 36 * 3_600_000)     # 2024-01-15 00:00 to 16th 12:00
+
+
+@register("bronze_range_scan", W(BRONZE_CTES, f"""
+  select * from bronze_dirs where "timestamp" >= {RANGE_MS[0]} and "timestamp" < {RANGE_MS[1]}"""))
+def q_bronze_range_scan(spark, sf):
+    return B.read_bronze(spark, written_bronze(spark, sf)).where(B.time_range_filter(*RANGE_MS))
+
+
 @register("bronze_sample", W(BRONZE_CTES, """
   select * from bronze_dirs order by symbol, year, month, day, trade_id limit 5"""))
 def q_bronze_sample(spark, sf):
@@ -669,6 +710,30 @@ def q_gold_roundtrip(spark, sf):
     return write_table(spark, vwap_mart(spark, sf), "gold", "mart_vwap", partition_by=["symbol"])
 
 
+@register("gold_partial_rebuild", W(O.vwap_ctes(), "select * from mart_vwap"),
+          note="one symbol rebuilt after a whole build: the others stay")
+def q_gold_partial_rebuild(spark, sf):
+    mart = cut(vwap_mart(spark, sf))
+    write_table(spark, mart, "gold", "mart_vwap_partial", partition_by=["symbol"])
+    return write_table(spark, mart.where(F.col("symbol") == PANEL_SYMBOL), "gold", "mart_vwap_partial",
+                       partition_by=["symbol"])
+
+
+@register("silver_stg_trades", W(O.silver_ctes(), "select * from stg_trades"))
+def q_silver_stg_trades(spark, sf):
+    return write_table(spark, events_stg(spark, sf), "silver", "stg_trades", partition_by=["symbol"])
+
+
+@register("gold_mart_volatility", W(O.volatility_ctes(), "select * from mart_volatility"))
+def q_gold_mart_volatility(spark, sf):
+    return write_table(spark, volatility_mart(spark, sf), "gold", "mart_volatility", partition_by=["symbol"])
+
+
+@register("gold_mart_whale_trades", W(WT, "select * from mart_whale_trades"))
+def q_gold_mart_whale_trades(spark, sf):
+    return write_table(spark, whale_mart(spark, sf), "gold", "mart_whale_trades", partition_by=["symbol"])
+
+
 # ---- streaming (availableNow runs over files; the sink is read back) ---------------
 
 from tradelake.streaming import jobs as P  # noqa: E402
@@ -691,6 +756,19 @@ def q_stream_ohlcv(spark, sf):
     return spark.read.parquet(out).select(*ohlcv(events_stg(spark, sf)).columns)
 
 
+@register("stream_hourly", W(O.vwap_ctes(), f"""
+  select * from hourly_vwap
+  where hour + interval 1 hour
+        <= (select max(make_timestamp("timestamp" * 1000)) from bronze) - interval {STREAM_WATERMARK}"""),
+          note="all measures of the hourly roll-up, in several micro-batches; append mode as above")
+def q_stream_hourly(spark, sf):
+    src, out, ck = (new_scratch_path(spark, n) for n in ("hourly_src", "stream_hourly", "stream_hourly_ck"))
+    event_trades(spark, sf).repartitionByRange(4, "timestamp").write.parquet(src)
+    candles = P.stream_candles(P.stream_trades(P.bronze_stream(spark, src), STREAM_WATERMARK), keep_window=True)
+    P.write_append(P.stream_hourly(candles), out, ck).awaitTermination()
+    return spark.read.parquet(out).select(*vwap.hourly_vwap(events_candles(spark, sf)).columns)
+
+
 def replays(trades):
     """Copies of the BUY trades re-delivered an hour after first ingestion."""
     later = F.date_format(F.to_timestamp("ingested_at") + F.expr("INTERVAL 1 HOUR"),
