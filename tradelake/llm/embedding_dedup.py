@@ -265,11 +265,11 @@ def tasks(assigned: DataFrame, shard_limit: int) -> DataFrame:
     """Adds block, i and j: the task (shard, i, j) gets the blocks i and j of its
     shard; a shard within the limit is one block and one task."""
     sizes = assigned.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each cluster
-    blocks = {r.shard: -(-2 * r.n // shard_limit) if r.n > shard_limit else 1 for r in sizes}
+    split = [(r.shard, -(-2 * r.n // shard_limit)) for r in sizes if r.n > shard_limit]
     count = F.lit(1)
-    for shard, b in blocks.items():
-        if b > 1:
-            count = F.when(F.col("shard") == shard, b).otherwise(count)
+    if split:
+        blocks = F.create_map(*[F.lit(v) for pair in split for v in pair])
+        count = F.coalesce(F.element_at(blocks, F.col("shard")), F.lit(1))
     block = F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
     other = F.sequence(F.lit(0), F.col("_blocks") - 1)
     return (assigned.withColumn("_blocks", count).withColumn("block", block).withColumn("_o", F.explode(other))
