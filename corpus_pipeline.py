@@ -3,6 +3,7 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor
 kept.  ``run`` writes each stage's result to the shared folder and reads it
 again, as a scheduled job would, so a lost executor costs one stage at most.
+The two stages that store many intermediates remove them before they return.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tradelake.llm import line_dedup, mixing, packing, simhash, toxicity
-from tradelake.llm.common import stored, table
+from tradelake.llm.common import settled, stored, table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,12 +22,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that repeat an earlier line; all rows stay."""
-    return line_dedup.drop_repeated_lines(docs, max_edits=2, min_chars=24)
+    return settled(lambda: line_dedup.drop_repeated_lines(docs, max_edits=2, min_chars=24), "line-dedup")
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates."""
-    return simhash.keep_one(docs, shingle=3, max_bits=2)
+    return settled(lambda: simhash.keep_one(docs, shingle=3, max_bits=2), "near-duplicates")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,15 +30,38 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
-def stored(df: DataFrame, name: str, keep: bool = True) -> DataFrame:
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the
     lineage, so a lost executor costs a re-read and not a re-run."""
     spark = df.sparkSession
     path = new_scratch_path(spark, name)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, written and read back, and without the tables that
+    were stored on the way: for jobs whose intermediates outgrow their result."""
+    token = _MADE.set(made := [])
+    try:
+        out = make()
+        _MADE.reset(token)
+        return stored(out, name)
+    finally:
+        if _MADE.get() is made:
+            _MADE.reset(token)
+        if made:
+            hadoop = SparkSession.active().sparkContext
+            for path in made:
+                p = hadoop._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(hadoop._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def clear_name(taken, base: str) -> str:
     """A column name that none of ``taken`` clashes with (case-insensitive)."""
     low = {c.lower() for c in taken}
