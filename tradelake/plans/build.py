@@ -20,7 +20,7 @@ from tradelake.operators.candles import ohlcv
 from tradelake.operators.silver import stg_trades
 from tradelake.operators.volatility import mart_volatility
 from tradelake.operators.vwap import mart_vwap
-from tradelake.operators.whales import mart_whale_trades
+from tradelake.operators.whales import hourly_context, mart_whale_trades
 from tradelake.session import new_scratch_path
 
 
@@ -68,10 +68,11 @@ def build_gold(spark: SparkSession, bronze: DataFrame, interval: str = "1 minute
     by_time = ["symbol", "candle_time"]
     stg = materialize(stg_trades(bronze), spark, "stg_trades", sort_by=["symbol", "traded_at"])
     candles = materialize(ohlcv(stg, interval), spark, "stg_ohlcv", sort_by=by_time)
+    context = materialize(hourly_context(stg, whale_threshold), spark, "hourly_context")
     return Layers(stg, candles,
                   materialize(mart_vwap(candles), spark, "mart_vwap", sort_by=by_time),
                   materialize(mart_volatility(candles), spark, "mart_volatility", sort_by=by_time),
-                  materialize(mart_whale_trades(stg, whale_threshold), spark, "mart_whale_trades",
+                  materialize(mart_whale_trades(stg, whale_threshold, context=context), spark, "mart_whale_trades",
                               sort_by=["symbol", "traded_at"]))
 
 
