@@ -80,3 +80,40 @@ def test_repeated_rows_and_empty_input(docs):
 def test_only_sql_on_the_main_path(docs):
     plan = L.line_classes(docs([(1, LINE)]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("edits,chars", [(2, 24), (3, 18), (1, 10), (0, 24)])
+def test_every_line_against_all_pairs(spark, docs, edits, chars):
+    rng = random.Random(11)
+    base = ["".join(rng.choice("ab é😀") for _ in range(rng.randrange(1, 32))) + "x" for _ in range(40)]
+    lines = [changed(rng, rng.choice(base), rng.randrange(4)).rstrip() for _ in range(300)]
+    d = docs([(i, "\n".join(lines[i * 10:i * 10 + 10] + ["", "  \t"])) for i in range(30)])
+    places = [(i // 10, i % 10) for i, x in enumerate(lines) if x]
+    text = {(i // 10, i % 10): x for i, x in enumerate(lines) if x}
+
+    def linked(a, b):
+        most = min(edits, min(len(a), len(b)) * edits // chars)
+        return a != b and abs(len(a) - len(b)) <= most and distance(a, b) <= most
+    near = {a: [b for b in set(text.values()) if linked(a, b)] for a in set(text.values())}
+    root = {}
+    for p in places:  # in order, so the first place of a class names it
+        todo = [text[p]]
+        while todo:
+            x = todo.pop()
+            if x not in root:
+                root[x] = p
+                todo += near[x]
+    rows = {(r.doc_id, r.line_no): r for r in L.line_classes(d, edits, chars, every_line=True).collect()}
+    assert set(rows) == set(places)
+    for p, r in rows.items():
+        assert (r.class_doc, r.class_line) == root[text[p]] and r.kept == (root[text[p]] == p)
+        assert r.n_links == len(near[text[p]])
+
+
+def test_query_covers_short_lines(spark):
+    from tradelake.llm.queries import op5_line_dedup
+    sf = "/root/testdata/sf0.001"
+    texts = spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()
+    lines = [x.rstrip(" \t\n\v\f\r") for r in texts if r.text for x in r.text.split("\n")]
+    rows = op5_line_dedup(spark, sf)
+    assert rows.count() == sum(x != "" for x in lines) > sum(len(x) >= 24 for x in lines)

@@ -1,7 +1,9 @@
 """Near-duplicate lines: segment-partition edit join.
 
 Texts are split at line ends; lines of fewer than ``min_chars`` characters take
-no part.  Equal lines are collapsed first, so however often a line occurs it is
+no part, or, with ``every_line``, all but empty lines do and the bound follows
+the length below it: ``max_edits`` times the shorter line's share of
+``min_chars``, rounded down.  Equal lines are collapsed first, so however often a line occurs it is
 one row of the join.  A line is cut into ``max_edits + 1`` even segments; a line
 within ``max_edits`` edits must hold one of them unchanged, near its place.  So
 segments are indexed by (length, number, hash) and every line probes the
@@ -195,20 +197,47 @@ def line_links(lines: DataFrame, max_edits: int = 2, hot: int = 16, crowded: int
     return verified(both, max_edits).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "edits")
 
 
+def one_edit_links(lines: DataFrame) -> DataFrame:
+    """Distinct short lines (id, line, len) -> links (a, b, edits) of one edit:
+    such lines meet on what is left without one character, or on the shorter one."""
+    left = F.expr("concat(array(line), transform(sequence(1, len), "
+                  "i -> concat(substring(line, 1, i - 1), substring(line, i + 1))))")
+    keys = lines.select("id", F.explode(F.array_distinct(left)).alias("left")).select("id", F.xxhash64("left").alias("key"))
+    pairs = (keys.alias("l").join(keys.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id")))
+             .select(F.col("l.id").alias("id_a"), F.col("r.id").alias("id_b")).distinct())
+    both = (pairs.join(lines.select(F.col("id").alias("id_a"), F.col("line").alias("a")), "id_a")
+            .join(lines.select(F.col("id").alias("id_b"), F.col("line").alias("b")), "id_b"))
+    return verified(both, 1).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "edits")
+
+
+def scaled_links(lines: DataFrame, max_edits: int, min_chars: int, hot: int) -> DataFrame:
+    """Distinct lines of any length (id, line, len) -> links (a, b, edits) within
+    ``max_edits``, and within ``len * max_edits / min_chars`` of the shorter line."""
+    links = line_links(lines.where(F.col("len") >= min_chars), max_edits, hot)
+    for e in range(1, max_edits):
+        first, after = (-(-min_chars * k // max_edits) for k in (e, e + 1))
+        some = lines.where(F.col("len").between(first, after - 1 + e))
+        links = links.unionByName(one_edit_links(some) if e == 1 else line_links(some, e, hot))
+    # lines just above a bound meet twice
+    return links.distinct()
+
+
 def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 24, hot: int = 16,
-                 carry: tuple[str, ...] = ()) -> DataFrame:
+                 carry: tuple[str, ...] = (), every_line: bool = False) -> DataFrame:
     """Every line that takes part: doc_id, line_no (from 0), n_links (other line
     texts linked directly), class_doc and class_line (the first line of its
     class of linked or equal lines), kept (it is that line), and ``carry``."""
     each = (docs.select("doc_id", *carry, F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
             .withColumn("line", F.regexp_replace("line", r"[\x20\x09-\x0D]+$", ""))
-            .where(F.char_length("line") >= min_chars))
+            .where(F.char_length("line") >= (1 if every_line else min_chars)))
     key = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2")]
     slim = stored(each.select("doc_id", *carry, "line_no", *key), "line-rows")
     lines = (each.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
              .select(F.monotonically_increasing_id().alias("id"), "line", F.char_length("line").alias("len"), *key))
     lines = stored(lines, "lines")
-    links = stored(line_links(lines.select("id", "line", "len"), max_edits, hot), "line-links")
+    texts = lines.select("id", "line", "len")
+    links = stored(scaled_links(texts, max_edits, min_chars, hot) if every_line else line_links(texts, max_edits, hot),
+                   "line-links")
     roots = connected_components(links.select("a", "b"))
     degree = (links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id")
               .agg(F.count(F.lit(1)).alias("n_links")))

@@ -40,7 +40,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_classes(table(spark, sf_dir, "documents"), max_edits=2, min_chars=24)
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"), max_edits=2, min_chars=24, every_line=True)
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
