@@ -37,3 +37,20 @@ def test_range_check(spark):
     df = bronze_rows(spark, [trade(price=1.0), trade(price=-1.0)])
     r = Q.range_check(df, "t", {"price_positive": F.col("price") > 0}).collect()[0]
     assert (r.failures, r.status) == (1, "fail")
+
+
+def test_report_has_freshness_ids_and_sides(spark):
+    from tradelake.plans.build import layers, quality_report
+    df = bronze_rows(spark, [trade(trade_id=1), trade(trade_id=1), trade(trade_id=2, side="HOLD", qty=1000.0),
+                             trade(symbol="ETHUSDT", trade_id=2, qty=1000.0)])
+    built = layers(df)
+    got = {}
+    for at in ("10:05", "10:20", "11:00"):
+        as_of = F.lit(f"2024-01-01 {at}:00").cast("timestamp")
+        r = {(x.table_name, x.check): (x.failures, x.status) for x in quality_report(built, df, as_of).collect()}
+        got[at] = r["bronze_trades", "freshness:ingested_at"]
+    assert got == {"10:05": (0, "pass"), "10:20": (1, "warn"), "11:00": (1, "error")}
+    assert r["bronze_trades", "unique:trade_id"] == (2, "fail")
+    assert r["mart_whale_trades", "unique:trade_id"] == (1, "fail")
+    assert r["bronze_trades", "accepted_values:side"] == (1, "fail")
+    assert r["mart_whale_trades", "accepted_values:side"] == (1, "fail")

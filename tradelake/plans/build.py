@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions import SIDES, TIER_ORDER
@@ -76,9 +76,11 @@ def build_gold(spark: SparkSession, bronze: DataFrame, interval: str = "1 minute
                               sort_by=["symbol", "traded_at"]))
 
 
-def quality_report(layers: Layers, bronze: DataFrame) -> DataFrame:
+def quality_report(layers: Layers, bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     """The not-null / unique / accepted-values / range checks of every layer,
-    as one findings table (rows with status "fail" are violations)."""
+    as one findings table (rows with status "fail" are violations), and the
+    freshness of bronze at ``as_of`` (now), with its own status: pass, warn or
+    error, error also where no load time is known."""
     nn = [
         Q.not_null(bronze, "bronze_trades", ["trade_id", "symbol", "price", "quantity", "timestamp", "ingested_at"]),
         Q.not_null(layers.stg_trades, "stg_trades", ["trade_id", "symbol", "price", "quantity", "volume_usd",
@@ -90,14 +92,21 @@ def quality_report(layers: Layers, bronze: DataFrame) -> DataFrame:
         Q.not_null(layers.mart_volatility, "mart_volatility", ["symbol", "candle_time"]),
         Q.not_null(layers.mart_whale_trades, "mart_whale_trades", ["trade_id", "symbol", "traded_at", "volume_usd"]),
     ]
-    dup = Q.unique(layers.stg_trades, "stg_trades", ["symbol", "trade_id"])
-    bad = Q.union_all([Q.accepted_values(layers.stg_trades, "stg_trades", "side", SIDES),
+    dup = Q.union_all([Q.unique(bronze, "bronze_trades", ["trade_id"]),
+                       Q.unique(layers.stg_trades, "stg_trades", ["symbol", "trade_id"]),
+                       Q.unique(layers.mart_whale_trades, "mart_whale_trades", ["trade_id"])])
+    bad = Q.union_all([Q.accepted_values(bronze, "bronze_trades", "side", SIDES),
+                       Q.accepted_values(layers.stg_trades, "stg_trades", "side", SIDES),
+                       Q.accepted_values(layers.mart_whale_trades, "mart_whale_trades", "side", SIDES),
                        Q.accepted_values(layers.mart_whale_trades, "mart_whale_trades", "whale_tier", TIER_ORDER)])
     rng = Q.range_check(layers.stg_trades, "stg_trades",
                         {"price_positive": F.col("price") > 0, "quantity_positive": F.col("quantity") > 0})
+    fresh = Q.freshness(bronze, "bronze_trades", F.col("ingested_at").try_cast("timestamp"),
+                        F.current_timestamp() if as_of is None else as_of)
+    fresh = fresh.withColumn("status", F.when(F.col("max_loaded_at").isNull(), "error").otherwise(F.col("status")))
     as_rows = [
-        dup.groupBy("table_name").agg(F.count(F.lit(1)).alias("failures"))
-           .select("table_name", F.lit("unique:symbol,trade_id").alias("check"), "failures"),
+        dup.groupBy("table_name", "key_columns").agg(F.count(F.lit(1)).alias("failures"))
+           .select("table_name", F.concat(F.lit("unique:"), "key_columns").alias("check"), "failures"),
         bad.groupBy("table_name", "column_name").agg(F.sum("n").alias("failures"))
            .select("table_name", F.concat(F.lit("accepted_values:"), "column_name").alias("check"), "failures"),
         rng.select("table_name", F.col("check_name").alias("check"), "failures"),
@@ -105,7 +114,10 @@ def quality_report(layers: Layers, bronze: DataFrame) -> DataFrame:
          for x in nn]
     out = Q.union_all([x.select("table_name", "check", F.col("failures").cast("long").alias("failures"))
                        for x in as_rows])
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    out = out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    return out.unionByName(fresh.select(
+        "table_name", F.lit("freshness:ingested_at").alias("check"),
+        (F.col("status") != "pass").cast("long").alias("failures"), "status"))
 
 
 class BuildFailed(RuntimeError):
