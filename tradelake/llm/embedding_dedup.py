@@ -15,7 +15,9 @@ repeated with more overlap and wider beams.
 A shard of more than ``shard_limit`` vectors (one hot group, say) is split into
 blocks, and every two blocks meet in a task of their own.  A pair is counted
 by one task only, that of the smallest cluster both belong to, so counts and
-links to each vector's local root leave a task, never the pairs.
+links to each vector's local root leave a task, never the pairs.  A pair without
+a common cluster is not found, nor one that only a task of a larger common
+cluster finds; more overlap, not wider beams, helps against the former.
 
 Defined results: a vector that is null, empty, zero, of another length than
 most, or holds a null or non-finite component links with nothing and is its
@@ -301,7 +303,7 @@ def link_counts(classes: DataFrame, centroids: np.ndarray, least: float, overlap
         a = np.repeat(np.arange(len(ids)), np.diff(near.offsets.to_numpy()))
         b = near.flatten().to_numpy()
         at = np.minimum(np.searchsorted(ids, b), len(ids) - 1)
-        here = ids[at] == b  # neighbours in other shards are searched there
+        here = ids[at] == b  # edges that leave the shard are not followed
         graph = padded(a[here], at[here], np.zeros(here.sum(), np.int64), len(ids), 6 * degree)
         a, b = search(x, graph, least, beam, slack)
         own = matrix(table["shards"])
