@@ -72,3 +72,12 @@ def clear_name(taken, base: str) -> str:
 
 def text_or_empty(name: str):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of an ASCII string, bit by bit (reversed polynomial)."""
+    polynomial = 0xEDB88320     # fixed value
+    bit = f"lambda v, i: case when v % 2 = 1 then xor(v // 2, {polynomial}) else v // 2 end"
+    byte = f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+    return f"xor(list_reduce(list_prepend({0xFFFFFFFF}::bigint, {codes}), {byte}), {0xFFFFFFFF})"

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import (embedding_dedup, line_dedup, mixing, packing, simhash, token_counts, topk_search, toxicity,
-                           url_filters, warc)
+from tradelake.llm import (conversation_repair, embedding_dedup, exact_dedup, line_dedup, merkle, mixing, packing, simhash,
+                           token_counts, topk_search, toxicity, url_filters, warc)
 from tradelake.llm.common import table
 from tradelake.session import new_scratch_path
 
@@ -67,6 +67,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_report(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -78,9 +90,15 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_merkle": op12_merkle,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 SQL: dict[str, str] = {
     "op6_url_filters": url_filters.judge_sql(URL_RULES),
     "op9_warc": warc.round_trip_sql(),
     "op10_mixing": mixing.mixing_sql((3, 1, 2), 1.5, 2.0),
+    "op11_exact_dedup": exact_dedup.duplicates_sql(),
+    "op12_merkle": merkle.report_sql(),
+    "op13_conversation_repair": conversation_repair.report_sql(),
 }
