@@ -43,6 +43,21 @@ def unique(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
                     key_text.alias("key_value"), "n"))
 
 
+def key_counts(df: DataFrame, keys: list[str], **subsets: Column) -> DataFrame:
+    """Rows of each key (n) and how many of them fulfil each named condition: one
+    aggregate from which the repeats of any part of the key follow."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(k) for k, c in subsets.items()])
+
+
+def repeated(counts: DataFrame, table: str, keys: list[str], measure: str = "n") -> DataFrame:
+    """``unique`` from ``key_counts`` of the same or finer keys."""
+    rows = counts.groupBy(*keys).agg(F.sum(measure).alias("n"))
+    key_text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return (rows.where(F.col("n") > 1)
+            .select(F.lit(table).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"),
+                    key_text.alias("key_value"), "n"))
+
+
 def accepted_values(df: DataFrame, table: str, column: str, values: list[str]) -> DataFrame:
     """Values outside the set; NULL is not a violation (``NOT IN`` is unknown)."""
     c = F.col(column)

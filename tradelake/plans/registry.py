@@ -7,6 +7,7 @@ Computed columns carry the same names on both sides.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from typing import Callable
 
@@ -20,8 +21,11 @@ from tradelake.operators import volatility as vol
 from tradelake.operators import vwap
 from tradelake.operators import whales
 from tradelake.plans import oracle as O
-from tradelake.plans.build import materialize
+from tradelake.plans.build import materialize, scheduled_run
+from tradelake.session import scratch_path
+from tradelake.sources import releases as L
 from tradelake.sources.adapters import event_trades, lineitem_trades
+from tradelake.sources.releases import Releases
 
 
 @dataclass
@@ -91,6 +95,36 @@ def volatility_mart(spark, sf):
     return vol.mart_volatility(shared_candles(spark, sf))
 
 
+def published(spark, sf, feed):
+    """The releases of a feed's stand-in with a published build of the input files as
+    they are now: built, checked and switched by the first query that needs it, then
+    read by all panels, as a scheduled run and its readers do."""
+    source, trades, grain, only = {
+        "events": ("events", event_trades, "day", None),
+        "lineitem": ("lineitem", lineitem_trades, "month", ("mart_whale_trades",)),     # seven years, few trades a day
+    }[feed]
+    files = sorted(spark.read.parquet(f"{sf.rstrip('/')}/{source}.parquet").inputFiles())
+    run = spark.sparkContext.applicationId      # releases of another run may come from other code
+    root = scratch_path(spark, "releases", run, f"{feed}-{file_state(spark, files)}")
+    releases = Releases(spark, feed, root, grain)
+    if releases.current() is None:
+        # ids repeat across the stand-in's symbols, and replays are part of it
+        scheduled_run(spark, trades(spark, sf), releases, only=only, tolerate=(
+            "bronze_trades.unique:trade_id", "mart_whale_trades.unique:trade_id",
+            "bronze_trades.not_null:quantity", "bronze_trades.not_null:price"))
+    return releases
+
+
+def file_state(spark, files):
+    """Hash of names, lengths and times of files."""
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    seen = []
+    for f in files:
+        s = path(f).getFileSystem(conf).getFileStatus(path(f))
+        seen.append(f"{f}|{s.getLen()}|{s.getModificationTime()}")
+    return hashlib.sha256("\n".join(seen).encode()).hexdigest()[:16]
+
+
 W = O.with_ctes
 
 
@@ -298,7 +332,7 @@ KPI_24H = """
 
 @register("kpi_24h", W(O.candle_ctes() + [("recent", KPI_24H)], _kpi_sql("recent")))
 def q_kpi_24h(spark, sf):
-    return S.kpi(events_candles(spark, sf), hours=24)
+    return S.kpi(L.since_newest(published(spark, sf, "events"), "stg_ohlcv", 1), hours=24)
 
 
 @register("last_candles", W(O.candle_ctes(), f"""
@@ -307,7 +341,8 @@ def q_kpi_24h(spark, sf):
   from candles where symbol = '{PANEL_SYMBOL}'
   order by candle_time desc limit {PANEL_CANDLES}"""))
 def q_last_candles(spark, sf):
-    return S.last_candles(events_candles(spark, sf), PANEL_SYMBOL, PANEL_CANDLES)
+    return S.last_candles(L.newest(published(spark, sf, "events"), "stg_ohlcv", PANEL_CANDLES, PANEL_SYMBOL), PANEL_SYMBOL,
+                          PANEL_CANDLES)
 
 
 @register("candle_shape", W(O.candle_ctes(), """
@@ -323,7 +358,8 @@ def q_candle_shape(spark, sf):
   from mart_volatility where symbol = '{PANEL_SYMBOL}'
   order by candle_time desc limit {PANEL_CANDLES}"""))
 def q_bollinger_panel(spark, sf):
-    return S.bollinger_panel(volatility_mart(spark, sf), PANEL_SYMBOL, PANEL_CANDLES)
+    return S.bollinger_panel(L.newest(published(spark, sf, "events"), "mart_volatility", PANEL_CANDLES, PANEL_SYMBOL),
+                             PANEL_SYMBOL, PANEL_CANDLES)
 
 
 @register("vwap_deviation_split", W(EV, f"""
@@ -333,14 +369,15 @@ def q_bollinger_panel(spark, sf):
   from mart_vwap where symbol = '{PANEL_SYMBOL}'
   order by candle_time desc limit {PANEL_CANDLES}"""))
 def q_vwap_deviation_split(spark, sf):
-    return S.vwap_deviation_split(vwap_mart(spark, sf), PANEL_SYMBOL, PANEL_CANDLES)
+    return S.vwap_deviation_split(L.newest(published(spark, sf, "events"), "mart_vwap", PANEL_CANDLES, PANEL_SYMBOL),
+                                  PANEL_SYMBOL, PANEL_CANDLES)
 
 
 @register("vwap_last30", W(EV, f"""
   select candle_time, vwap_30min, close from mart_vwap where symbol = '{PANEL_SYMBOL}'
   order by candle_time desc limit 30"""))
 def q_vwap_last30(spark, sf):
-    return S.vwap_last30(vwap_mart(spark, sf), PANEL_SYMBOL)
+    return S.vwap_last30(L.newest(published(spark, sf, "events"), "mart_vwap", 30, PANEL_SYMBOL), PANEL_SYMBOL)
 
 
 @register("whales_recent", W(WT, f"""
@@ -348,14 +385,15 @@ def q_vwap_last30(spark, sf):
   from mart_whale_trades where volume_usd >= 100000.0
   order by {RECENT_SQL} limit 100"""))
 def q_whales_recent(spark, sf):
-    return S.whales_recent(whale_mart(spark, sf), 100_000.0, 100)
+    return S.whales_recent(L.newest(published(spark, sf, "lineitem"), "mart_whale_trades", 100,
+                                    keep=F.col("volume_usd") >= 100_000.0), 100_000.0, 100)
 
 
 @register("top_whales", W(WT, f"""
   select symbol, traded_at, price, volume_usd, side from mart_whale_trades
   order by volume_usd desc, {RECENT_SQL} limit 5"""))
 def q_top_whales(spark, sf):
-    return S.top_whales(whale_mart(spark, sf), 5)
+    return S.top_whales(L.largest(published(spark, sf, "lineitem"), "mart_whale_trades", 5), 5)
 
 
 @register("top10_recent_whales", W(WT, f"""
@@ -363,7 +401,7 @@ def q_top_whales(spark, sf):
   from (select * from mart_whale_trades order by {RECENT_SQL} limit 200)
   order by volume_usd desc, {RECENT_SQL} limit 10"""))
 def q_top10_recent_whales(spark, sf):
-    return S.top10_recent_whales(whale_mart(spark, sf), 200, 10)
+    return S.top10_recent_whales(L.newest(published(spark, sf, "lineitem"), "mart_whale_trades", 200), 200, 10)
 
 
 @register("whale_tier_crosstab", W(WT, f"""
@@ -376,7 +414,7 @@ def q_top10_recent_whales(spark, sf):
              group by whale_tier) c
   on t.whale_tier = c.whale_tier"""))
 def q_whale_tier_crosstab(spark, sf):
-    return S.whale_tier_crosstab(spark, whale_mart(spark, sf), 200)
+    return S.whale_tier_crosstab(spark, L.newest(published(spark, sf, "lineitem"), "mart_whale_trades", 200), 200)
 
 
 VOL_COMPARE_SQL = """(select symbol, candle_time, realized_vol_pct, annualized_vol, close
@@ -385,7 +423,7 @@ VOL_COMPARE_SQL = """(select symbol, candle_time, realized_vol_pct, annualized_v
 
 @register("vol_compare", W(EV, f"select * from {VOL_COMPARE_SQL}"))
 def q_vol_compare(spark, sf):
-    return S.vol_compare(volatility_mart(spark, sf), 360)
+    return S.vol_compare(L.newest(published(spark, sf, "events"), "mart_volatility", 360), 360)
 
 
 @register("normalized_price", W(EV, f"""
@@ -393,7 +431,7 @@ def q_vol_compare(spark, sf):
          close / first_value(close) over (partition by symbol order by candle_time) * 100.0 as normalized_price
   from {VOL_COMPARE_SQL}"""))
 def q_normalized_price(spark, sf):
-    return S.normalized_price(volatility_mart(spark, sf), 360)
+    return S.normalized_price(L.newest(published(spark, sf, "events"), "mart_volatility", 360), 360)
 
 
 @register("vol_compare_per_symbol", W(EV, """
@@ -401,7 +439,7 @@ def q_normalized_price(spark, sf):
     select *, row_number() over (partition by symbol order by candle_time desc) as rn
     from mart_volatility) where rn <= 120"""))
 def q_vol_compare_per_symbol(spark, sf):
-    return S.vol_compare_per_symbol(volatility_mart(spark, sf), 120)
+    return S.vol_compare_per_symbol(L.newest_of_each(published(spark, sf, "events"), "mart_volatility", 120), 120)
 
 
 BUY_PRESSURE_SQL = f"""
@@ -464,12 +502,12 @@ DQ_CTES = O.merge_ctes(EV, O.whale_ctes(WHALE_THRESHOLD, p="l_"))
 
 
 def _dq_tables(spark, sf):
-    bronze = event_trades(spark, sf)
-    stg = stg_trades(bronze)
-    candles = cut(ohlcv(stg))
-    return {"bronze_trades": bronze, "stg_trades": stg, "stg_ohlcv_1min": candles,
-            "mart_vwap": vwap.mart_vwap(candles), "mart_volatility": vol.mart_volatility(candles),
-            "mart_whale_trades": whale_mart(spark, sf)}
+    """Bronze as it comes, the other layers as they were published."""
+    events, whale_feed = published(spark, sf, "events"), published(spark, sf, "lineitem")
+    return {"bronze_trades": event_trades(spark, sf), "stg_trades": events.table("stg_trades"),
+            "stg_ohlcv_1min": events.table("stg_ohlcv"), "mart_vwap": events.table("mart_vwap"),
+            "mart_volatility": events.table("mart_volatility"),
+            "mart_whale_trades": whale_feed.table("mart_whale_trades")}
 
 
 def _not_null_sql():
@@ -511,14 +549,16 @@ def q_dq_not_null(spark, sf):
   from l_mart_whale_trades group by trade_id having count(*) > 1"""))
 def q_dq_unique(spark, sf):
     bronze = lineitem_trades(spark, sf)
-    stg = cut(stg_trades(bronze))
+    key = ["symbol", "trade_id"]
+    loaded = cut(Q.key_counts(bronze, key))
+    # the mart has one row for each whale trade, so its ids are those of the filter
+    kept = cut(Q.key_counts(stg_trades(bronze), key, whales=F.col("volume_usd") >= F.lit(WHALE_THRESHOLD)))
     return Q.union_all([
-        Q.unique(bronze, "bronze_trades", ["trade_id"]),
-        # the mart has one row for each whale trade, so its ids are those of the filter
-        Q.unique(whales.whale_filter(stg, WHALE_THRESHOLD), "mart_whale_trades", ["trade_id"]),
-        Q.unique(bronze, "bronze_trades", ["symbol", "trade_id"]),
-        Q.unique(stg, "stg_trades", ["symbol", "trade_id"]),
-        Q.unique(stg, "stg_trades", ["trade_id"]),   # the id-only form; ids repeat across symbols
+        Q.repeated(loaded, "bronze_trades", key),
+        Q.repeated(loaded, "bronze_trades", ["trade_id"]),
+        Q.repeated(kept, "stg_trades", key),
+        Q.repeated(kept, "stg_trades", ["trade_id"]),   # the id-only form; ids repeat across symbols
+        Q.repeated(kept, "mart_whale_trades", ["trade_id"], "whales"),
     ])
 
 
@@ -623,7 +663,7 @@ ENVELOPE_ONLY = "malformed_envelope"     # only wrapped frames (BUY) have an env
          {ARRIVAL_ISO} as ingested_at
   from bronze"""))
 def q_parse_raw_trades(spark, sf):
-    return R.parse_raw_trades(event_frames(spark, sf))
+    return R.parse_raw_trades(R.frames_from_trades(event_trades(spark, sf)))
 
 
 @register("parse_rejects", W(O.silver_ctes(), " union all ".join(
@@ -719,6 +759,12 @@ def q_gold_partial_rebuild(spark, sf):
                        partition_by=["symbol"])
 
 
+@register("gold_published", W(O.vwap_ctes(), "select * from mart_vwap"),
+          note="staged, checked, switched; read as the published version")
+def q_gold_published(spark, sf):
+    return published(spark, sf, "events").table("mart_vwap").drop(L.PERIOD)
+
+
 @register("silver_stg_trades", W(O.silver_ctes(), "select * from stg_trades"))
 def q_silver_stg_trades(spark, sf):
     return write_table(spark, events_stg(spark, sf), "silver", "stg_trades", partition_by=["symbol"])
