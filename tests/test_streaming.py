@@ -171,8 +171,9 @@ def test_progress_listener_sees_observed_metrics(spark):
 def test_scheduled_run_gates_checks(spark):
     import pytest
     from tradelake.plans.build import BuildFailed, scheduled_run
+    from tradelake.sources.releases import Releases
     tr = event_trades(spark, SF_SMALL)
-    built, report = scheduled_run(spark, tr)
+    built, report = scheduled_run(spark, tr, Releases(spark, "gate", new_scratch_path(spark, "gate")))
     assert report.where(F.col("status") == "fail").count() == 0
     assert built.mart_vwap.count() == built.candles.count()
     with pytest.raises(BuildFailed):
@@ -226,6 +227,45 @@ def _refreshed(spark, parts):
     return I.read_candles(spark, cpath), vpath
 
 
+def _marts(spark, parts):
+    """(incremental, full) of both marts."""
+    from tradelake.operators.volatility import mart_volatility
+    from tradelake.operators.vwap import mart_vwap
+    from tradelake.sources import bronze as B
+    from tradelake.streaming import incremental as I
+    bronze, cpath, vpath, opath, ck = (new_scratch_path(spark, n) for n in ("b", "cd", "v", "vo", "ck"))
+    whole = None
+    for part in parts:
+        B.write_bronze(part, bronze)
+        I.start_refresh(P.bronze_stream(spark, bronze), bronze, cpath, vpath, opath, ck, available_now=True).awaitTermination()
+        whole = part if whole is None else whole.unionByName(part)
+    candles = ohlcv(stg_trades(whole))
+    out = []
+    for path, mart in ((vpath, mart_vwap(candles)), (opath, mart_volatility(candles))):
+        schema = mart.schema.add("day", "string")
+        got = spark.read.schema(schema).option("basePath", path).parquet(path)
+        out.append((sorted(map(str, got.select(*mart.columns).collect())), sorted(map(str, mart.collect()))))
+    return out
+
+
+def test_a_day_that_loses_its_last_candle_leaves_no_mart_row(spark):
+    from tests.conftest import MS, bronze_rows, trade
+    day = 86_400_000
+    first = [trade(trade_id=i, ms=MS + i * 60_000, price=100.0 + i) for i in range(3)] + [trade(trade_id=9, ms=MS + day)]
+    moved = [trade(trade_id=9, ms=MS + 300_000, ingested="2024-01-01T09:00:00.000000+00:00")]
+    for got, want in _marts(spark, [bronze_rows(spark, first), bronze_rows(spark, moved)]):
+        assert got == want
+
+
+def test_a_day_left_with_the_first_candle_of_all_leaves_no_volatility_row(spark):
+    from tests.conftest import MS, bronze_rows, trade
+    day = 86_400_000
+    first = [trade(trade_id=1, ms=MS), trade(trade_id=2, ms=MS + day), trade(trade_id=3, ms=MS + 2 * day, price=101.0)]
+    moved = [trade(trade_id=1, ms=MS + day + 60_000, price=99.0, ingested="2024-01-01T09:00:00.000000+00:00")]
+    for got, want in _marts(spark, [bronze_rows(spark, first), bronze_rows(spark, moved)]):
+        assert got == want
+
+
 def test_a_copy_in_another_minute_counts_once(spark):
     from tests.conftest import MS, bronze_rows, trade
     first = [trade(trade_id=1, ms=MS), trade(trade_id=2, ms=MS + 60_000), trade(trade_id=3, ms=MS + 86_400_000)]

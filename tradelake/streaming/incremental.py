@@ -108,14 +108,21 @@ def refresh_candles(spark: SparkSession, bronze_path: str, candles_path: str, to
         kept = (read_candles(spark, candles_path).join(days, ["symbol", "day"], "left_semi")
                 .join(minutes, ["symbol", "candle_time"], "left_anti"))
         merged = kept.unionByName(fresh)
-    # stage first: the partitions being replaced are also being read
-    staged = new_scratch_path(spark, "candles_stage")
-    merged.write.parquet(staged)
+    _replace(spark, merged, candles_path, days)
+
+
+def _replace(spark: SparkSession, rows: DataFrame, path: str, scope: DataFrame) -> None:
+    """Make the (symbol, day) partitions of ``scope`` hold just ``rows``: those
+    that ``rows`` has are replaced, the others removed.  ``rows`` is staged first,
+    as it may be read from the very partitions."""
+    staged = new_scratch_path(spark, "stage")
+    rows.write.parquet(staged)
     try:
-        rows = spark.read.schema(merged.schema).parquet(staged)
-        _overwrite(rows, candles_path)
-        for r in days.join(rows.select("symbol", "day").distinct(), ["symbol", "day"], "left_anti").toLocalIterator():
-            _delete(spark, f"{candles_path}/symbol={r.symbol}/day={r.day}")
+        made = spark.read.schema(rows.schema).parquet(staged)
+        _overwrite(made, path)
+        gone = scope.join(made.select("symbol", "day").distinct(), ["symbol", "day"], "left_anti")
+        for r in gone.toLocalIterator():
+            _delete(spark, f"{path}/symbol={r.symbol}/day={r.day}")
     finally:
         _delete(spark, staged)
 
@@ -144,6 +151,12 @@ def _reach(counts: DataFrame, edge: DataFrame, rows: int, back: bool) -> DataFra
     return needed.groupBy("symbol").agg(far.alias("far"), F.max(F.col("_held") + F.col("n")).alias("found"))
 
 
+def days_within(bounds: DataFrame) -> DataFrame:
+    """Every (symbol, day) that a refresh of ``bounds`` rewrites."""
+    day = F.explode(F.sequence(F.to_date("first_day"), F.to_date("end_day")))
+    return bounds.select("symbol", day.alias("day")).select("symbol", F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
 def refresh_marts(spark: SparkSession, candles_path: str, vwap_path: str, vol_path: str,
                   touched: DataFrame, lookback_rows: int = LOOKBACK_ROWS,
                   lookback_days: int = 7) -> None:
@@ -183,11 +196,12 @@ def refresh_marts(spark: SparkSession, candles_path: str, vwap_path: str, vol_pa
              .drop("day", "start_day", "first_day", "end_day")).persist()
     try:
         fd = bounds.select("symbol", "first_day")
+        scope = days_within(bounds)
         for mart, path in ((mart_vwap, vwap_path), (mart_volatility, vol_path)):
             out = (mart(frame).withColumn("day", _day("candle_time"))
                    .join(fd, "symbol").where(F.col("day") >= F.col("first_day"))
                    .drop("first_day"))
-            _overwrite(out, path)
+            _replace(spark, out, path, scope)
     finally:
         frame.unpersist()
         bounds.unpersist()
