@@ -3,6 +3,7 @@
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.conftest import SF_SMALL
 from tradelake.operators.candles import ohlcv
@@ -242,7 +243,7 @@ def _marts(spark, parts):
     candles = ohlcv(stg_trades(whole))
     out = []
     for path, mart in ((vpath, mart_vwap(candles)), (opath, mart_volatility(candles))):
-        schema = mart.schema.add("day", "string")
+        schema = T.StructType([*mart.schema.fields, T.StructField("day", T.StringType())])
         got = spark.read.schema(schema).option("basePath", path).parquet(path)
         out.append((sorted(map(str, got.select(*mart.columns).collect())), sorted(map(str, mart.collect()))))
     return out
