@@ -55,6 +55,15 @@ def test_rules_of_any_form(spark):
     assert got == {i: plain(u, lower) for i, u in enumerate(values)}
 
 
+def test_host_and_path_are_not_mixed_up(spark):
+    rules = [("ne", "t", "block"), ("x.org", "", "allow"), ("a#b", "/", "block"), ("com", "/#", "block")]
+    listed = spark.createDataFrame(rules, "host string, path string, verdict string")
+    values = ["http://net", "http://a.net/x", "http://ne/t", "http://ne", "http://a#b/", "http://com/#", "http://y.x.org"]
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in U.judge(frame(spark, values), listed).collect()}
+    assert got == {i: plain(u, rules) for i, u in enumerate(values)}
+    assert got[0][3] == "allow" and got[1][2] is None
+
+
 def test_empty(spark):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     assert U.judge(frame(spark, []), rules).count() == 0

@@ -42,7 +42,9 @@ def labels(host: Column) -> Column:
 
 
 def digest(host: Column, path: Column) -> Column:
-    return F.sha2(F.concat(host, path), 256)
+    """Of both parts with a ``#`` between, which neither part of a URL can hold: equal
+    digests mean equal hosts and equal paths."""
+    return F.sha2(F.concat(host, F.lit("#"), path), 256)
 
 
 def short_hash(full: Column) -> Column:
