@@ -26,6 +26,7 @@ last; other columns are ignored or kept as they are.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -170,10 +171,12 @@ def line_links(lines: DataFrame, max_edits: int = 2, hot: int = 16, crowded: int
     """Distinct lines (id, line, len) -> links (a, b, edits), a < b, each pair once."""
     if max_edits == 0:
         return lines.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0).alias("edits")).limit(0)
-    entries = with_keys(lines, max_edits + 1, one_place(max_edits, False), "id")
+    entries = stored(with_keys(lines, max_edits + 1, one_place(max_edits, False), "id"), "segments")
     probes = with_keys(lines, max_edits + 1, one_place(max_edits, True), "id2")
     busy = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot), "hot-segments")
-    pairs = (entries.join(probes, "key").where("id <> id2").join(busy, "key", "left_anti")
+    # the smaller side of about ``hot`` rows a key is hashed, the probes are not sorted
+    calm_entries = entries.join(busy, "key", "left_anti").hint("shuffle_hash")
+    pairs = (probes.join(calm_entries, "key").where("id <> id2")
              .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
     if not busy.isEmpty():
         own = stored(entries.join(busy, "key"), "hot-entries")
@@ -198,13 +201,20 @@ def line_links(lines: DataFrame, max_edits: int = 2, hot: int = 16, crowded: int
 
 
 def one_edit_links(lines: DataFrame) -> DataFrame:
-    """Distinct short lines (id, line, len) -> links (a, b, edits) of one edit:
-    such lines meet on what is left without one character, or on the shorter one."""
-    left = F.expr("concat(array(line), transform(sequence(1, len), "
-                  "i -> concat(substring(line, 1, i - 1), substring(line, i + 1))))")
-    keys = lines.select("id", F.explode(F.array_distinct(left)).alias("left")).select("id", F.xxhash64("left").alias("key"))
-    pairs = (keys.alias("l").join(keys.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.id") < F.col("r.id")))
-             .select(F.col("l.id").alias("id_a"), F.col("r.id").alias("id_b")).distinct())
+    """Distinct short lines (id, line, len) -> links (a, b, edits) of one edit.  Two lines
+    that differ in one character are equal without it, at the same place; of two that
+    differ by one character more, the shorter is the longer without it.  So lines meet
+    on (rest, place) or on the rest itself, and all that meet are links: a rest that
+    many lines share costs no pair that is not in the result."""
+    cut = F.expr("transform(sequence(1, len), i -> named_struct('at', i, "
+                 "'left', xxhash64(concat(substring(line, 1, i - 1), substring(line, i + 1)))))")
+    rests = lines.select("id", F.explode(cut).alias("c")).select("id", "c.at", "c.left")
+    other = rests.select(F.col("id").alias("id2"), "at", "left")
+    swapped = rests.join(other, ["left", "at"]).where("id < id2").select(F.col("id").alias("id_a"), F.col("id2").alias("id_b"))
+    whole = lines.select(F.col("id").alias("id2"), F.xxhash64("line").alias("left"))
+    longer = (rests.select("id", "left").distinct().join(whole, "left")
+              .select(F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b")))
+    pairs = swapped.unionByName(longer).distinct()
     both = (pairs.join(lines.select(F.col("id").alias("id_a"), F.col("line").alias("a")), "id_a")
             .join(lines.select(F.col("id").alias("id_b"), F.col("line").alias("b")), "id_b"))
     return verified(both, 1).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "edits")
@@ -222,13 +232,19 @@ def scaled_links(lines: DataFrame, max_edits: int, min_chars: int, hot: int) ->
     return links.distinct()
 
 
+def without_end_blanks(line: Column) -> Column:
+    """The pattern looks at every blank of a line, so only lines that end in one meet it."""
+    ends = [F.endswith(line, F.lit(c)) for c in " \t\n\x0b\x0c\r"]
+    return F.when(reduce(Column.__or__, ends), F.regexp_replace(line, r"[\x20\x09-\x0D]+$", "")).otherwise(line)
+
+
 def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 24, hot: int = 16,
                  carry: tuple[str, ...] = (), every_line: bool = False) -> DataFrame:
     """Every line that takes part: doc_id, line_no (from 0), n_links (other line
     texts linked directly), class_doc and class_line (the first line of its
     class of linked or equal lines), kept (it is that line), and ``carry``."""
     each = (docs.select("doc_id", *carry, F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line_no", "line"))
-            .withColumn("line", F.regexp_replace("line", r"[\x20\x09-\x0D]+$", ""))
+            .withColumn("line", without_end_blanks(F.col("line")))
             .where(F.char_length("line") >= (1 if every_line else min_chars)))
     key = [F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2")]
     slim = stored(each.select("doc_id", *carry, "line_no", *key), "line-rows")
