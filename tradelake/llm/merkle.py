@@ -279,7 +279,7 @@ def manifest(docs: DataFrame, fields: Sequence[str] = FIELDS, group: str = "lang
                        leaf(*[F.col(f) for f in fields]).alias("digest"),
                        F.struct(*[v.alias(k) for k, v in named.items()]).alias("row"))
     rows = rows.withColumn("id", F.col("row.id"))
-    line = ranked(rows, ["id", "digest"])
+    line = ranked(stored(rows, "leaves"), ["id", "digest"])     # texts are hashed once, not for the ranges' sample too
     kept = F.struct("digest", "grp", F.col("row"))
     forest = build(line, kept, arity)
     names = (forest.rounds[0].where("block = 0").select("tree", F.element_at("rows", 1)["grp"].alias("grp")))
