@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions import round_half_away
+from tradelake.operators import candle_state as CS
 from tradelake.operators.candles import ohlcv
 from tradelake.operators.silver import dedup_trades, stg_trades
 from tradelake.operators import volatility as vol
@@ -150,6 +151,28 @@ def q_ohlcv_15min(spark, sf):
     return events_candles(spark, sf, "15 minutes")
 
 
+WIDTHS_SQL = " union all ".join(f"select '{w}' as width, * from by_{w.replace(' ', '_')}" for w in CS.WIDTHS)
+
+
+@register("ohlcv_widths", W(O.silver_ctes() + [
+    (f"by_{w.replace(' ', '_')}", O.OHLCV.format(src="stg_trades", bucket=f"time_bucket(interval '{w}', traded_at)"))
+    for w in CS.WIDTHS], WIDTHS_SQL), note="every width from the minute states: one scan, one shuffle")
+def q_ohlcv_widths(spark, sf):
+    return CS.all_widths(cut(CS.candle_states(events_stg(spark, sf))))
+
+
+@register("ohlcv_merged_states", W(O.candle_ctes(), "select * from candles"),
+          note="states of four arbitrary parts of the trades, stored and merged")
+def q_ohlcv_merged_states(spark, sf):
+    stg = cut(events_stg(spark, sf))
+    part = F.pmod(F.xxhash64("trade_id"), F.lit(4))
+    stored = None
+    for i in range(4):      # as batches arrive: each is merged into what is stored
+        new = CS.candle_states(stg.where(part == i))
+        stored = cut(new if stored is None else CS.merge_states(stored, new))
+    return CS.finished(stored)
+
+
 @register("ohlcv_1h", W(O.candle_ctes("hour"), "select * from candles"))
 def q_ohlcv_1h(spark, sf):
     return events_candles(spark, sf, "1 hour")
@@ -840,6 +863,23 @@ def q_stream_dedup(spark, sf):
     return spark.read.parquet(out).select(*events_stg(spark, sf).columns)
 
 
+from tradelake.streaming import state as ST  # noqa: E402
+
+CLOCK = "CLOCK"     # a trade long after all others, which moves the watermark past their horizon
+
+
+@register("stream_dedup_settled", W(O.silver_ctes(), "select * from stg_trades"),
+          note="replays arrive first, originals after a restart; the least ingested_at wins, as in the batch")
+def q_stream_dedup_settled(spark, sf):
+    src, out, ck = (new_scratch_path(spark, n) for n in ("settled_src", "stream_settled", "settled_ck"))
+    trades = event_trades(spark, sf)
+    clock = trades.limit(1).withColumns({"symbol": F.lit(CLOCK), "timestamp": F.lit(1_735_689_600_000)})     # 2025-01-01
+    for part in (replays(trades), trades, clock):
+        part.select(*trades.columns).write.mode("append").parquet(src)
+        P.write_append(ST.settled_trades(P.bronze_stream(spark, src), REPLAY_WATERMARK), out, ck).awaitTermination()
+    return spark.read.parquet(out).select(*events_stg(spark, sf).columns)
+
+
 from tradelake.schema import MART_VWAP_COLUMNS  # noqa: E402
 from tradelake.streaming import incremental as INC  # noqa: E402
 
