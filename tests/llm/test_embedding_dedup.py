@@ -58,6 +58,45 @@ def test_vectors_that_link_with_nothing(spark):
     assert E.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_every_length_is_compared(spark):
+    rng = np.random.default_rng(5)
+    rows, at = [], 0
+    for dim, n in ((24, 300), (16, 150), (3, 2)):
+        x = vectors(dim, 600, dim)[:n] if n > 2 else np.array([[1.0, 2.0, 3.0], [1.0, 2.0, 3.1]], np.float32)
+        rows += [(at + i, x[i], dim) for i in range(n)]
+        at += n
+    rng.shuffle(order := np.arange(len(rows)))
+    frame = spark.createDataFrame([(rows[i][0], [float(v) for v in rows[i][1]], 0) for i in order], SCHEMA)
+    got = {r.vec_id: r for r in E.near_duplicates(frame, shard_size=60).collect()}
+    for dim in (24, 16, 3):
+        ids = [r[0] for r in rows if r[2] == dim]
+        counts, roots = truth(np.array([rows[i][1] for i in ids]))
+        n = np.array([got[i].n_links for i in ids])
+        assert counts.sum() > 0 and (n <= counts).all() and n.sum() >= 0.95 * counts.sum()
+        assert np.mean([got[i].component_id == ids[0] + r for i, r in zip(ids, roots)]) > 0.99
+
+
+def test_planted_pairs_over_many_clusters(spark):
+    rng = np.random.default_rng(9)
+    x = E.unit(rng.normal(size=(3000, 64)))
+    for i in range(300):  # pairs just above the threshold, far from everything else
+        side = rng.normal(size=64)
+        side -= side @ x[i] * x[i]
+        x[1500 + i] = 0.953 * x[i] + np.sqrt(1 - 0.953 ** 2) * side / np.linalg.norm(side)
+    x[2000:2400] = x[1999] + rng.normal(size=(400, 64)) * 0.01  # a large group
+    x = x.astype(np.float32)
+    counts, roots = truth(x)
+    frame = spark.createDataFrame([(i, [float(v) for v in row], 0) for i, row in enumerate(x)], SCHEMA)
+    log = []
+    got = {r.vec_id: r for r in E.near_duplicates(frame, shard_size=250, log=log).collect()}
+    planted = [i for i in range(300) if counts[i] == 1]
+    assert len(planted) > 250 and sum(got[i].n_links for i in planted) >= 0.9 * len(planted)
+    assert all(got[i].n_links <= counts[i] for i in got)
+    assert sum(got[i].n_links for i in range(1999, 2400)) >= 0.95 * counts[1999:2400].sum()  # what the audit asks for
+    assert np.mean([got[i].component_id == roots[i] for i in range(1999, 2400)]) > 0.99
+    assert log[-1]["mean"] >= 0.95 or log[-1]["overlap"] >= 48
+
+
 def test_robust_prune_drops_covered_neighbours():
     x = E.unit(np.array([[1, 0.0], [0.99, 0.1], [0.98, 0.14], [0.0, 1.0]]))
     cand = np.array([[1, 2, 3], [2, 0, 3], [1, 0, 3], [2, 1, 0]])

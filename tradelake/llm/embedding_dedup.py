@@ -1,16 +1,18 @@
 """Embedding near-duplicates on a robust-pruned flat graph.
 
-Bit-equal vectors are collapsed first.  Centroids are fitted on a bounded
+Bit-equal vectors are collapsed first.  Vectors of different lengths never
+meet: every length has clusters of its own.  Centroids are fitted on a bounded
 sample; every vector goes to its ``overlap`` nearest clusters, so clusters are
-overlapping shards.  Each shard builds a flat graph: candidates by similarity,
+overlapping shards (a length of few vectors is one shard).  Each shard builds a flat graph: candidates by similarity,
 robust pruning (a neighbour is kept unless a kept one is clearly nearer to it),
 reverse edges.  Adjacency lists of all shards are united by vector, and each
 shard then searches the united graph for all its vectors: a greedy beam from
-several medoids, then a range expansion that follows every neighbour of what
-lies near the threshold.  Similarities are cosines in double precision, so no
+several medoids and the vector itself, then a range expansion that follows
+every neighbour of what lies near the threshold.  Similarities are cosines in double precision, so no
 link is below the threshold.  Recall is audited against brute force for a
-bounded sample of vectors; while it is under ``min_recall``, the search is
-repeated with more overlap and wider beams.
+bounded sample of vectors, over all links and as the mean of the vectors' own
+shares (so that a large group does not hide lost small pairs); while either is
+under ``min_recall``, the search is repeated with more overlap and wider beams.
 
 A shard of more than ``shard_limit`` vectors (one hot group, say) is split into
 blocks, and every two blocks meet in a task of their own.  A pair is counted
@@ -19,9 +21,9 @@ links to each vector's local root leave a task, never the pairs.  A pair without
 a common cluster is not found, nor one that only a task of a larger common
 cluster finds; more overlap, not wider beams, helps against the former.
 
-Defined results: a vector that is null, empty, zero, of another length than
-most, or holds a null or non-finite component links with nothing and is its
-own component; repeated rows are separate rows; a repeated vec_id keeps all
+Defined results: a vector that is null, empty, zero, or holds a null or
+non-finite component links with nothing and is its own component; vectors of
+different lengths do not link; repeated rows are separate rows; a repeated vec_id keeps all
 its rows; other columns are ignored.  Empty input gives empty output.
 """
 
@@ -29,12 +31,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.llm.common import stored
 from tradelake.llm.components import connected_components
 
+# A shard's number: vector length times this, plus the cluster.
+LENGTH_STEP = 1 << 32
+
 
 def unit(vectors: np.ndarray) -> np.ndarray:
     v = vectors.astype(np.float64)
@@ -47,6 +53,13 @@ def matrix(column) -> np.ndarray:
     return c.flatten().to_numpy(zero_copy_only=False).reshape(len(c), -1) if len(c) else np.empty((0, 0))
 
 
+def by_length(batch: pa.RecordBatch | pa.Table, column: str = "v"):
+    """(length, the rows whose list has that length) for every length in ``batch``."""
+    sizes = pc.list_value_length(batch[column])
+    for length in pc.unique(sizes).to_pylist():
+        yield length, batch.filter(pc.equal(sizes, length))
+
+
 def fit_centroids(sample: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     """Spherical k-means."""
     rng = np.random.default_rng(seed)
@@ -148,8 +161,14 @@ def search(x: np.ndarray, graph: np.ndarray, least: float, beam: int, slack: flo
         seen[:, starts] = True
         ids = np.tile(starts, (m, 1))
         sims = q @ x[starts].T
-        done = np.zeros(ids.shape, bool)
-        near = [(np.repeat(np.arange(m), len(starts)), ids.ravel(), sims.ravel())]
+        own = at + np.arange(m)  # the vector itself is a start, unless it is a medoid
+        other = np.nonzero(~seen[np.arange(m), own])[0]
+        seen[np.arange(m), own] = True
+        first = np.full((m, 1), -2.0)
+        first[other] = 1.0
+        near = [(np.repeat(np.arange(m), len(starts)), ids.ravel(), sims.ravel()), (other, own[other], np.ones(len(other)))]
+        ids, sims = np.concatenate([ids, own[:, None]], 1), np.concatenate([sims, first], 1)
+        done = sims <= -2.0
         while True:
             open_sims = np.where(done, -2.0, sims)
             best = np.argpartition(-open_sims, min(3, ids.shape[1] - 1), axis=1)[:, :4]  # four nodes a step
@@ -228,11 +247,6 @@ def vector_classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
             & F.exists(v, lambda e: e != 0))
     fine = F.coalesce(fine, F.lit(False))
     each = vectors.select("vec_id", F.when(fine, v).alias("v"))
-    # of several lengths the most frequent one counts (of equally frequent the longer)
-    size = (each.where("v is not null").groupBy(F.size("v").alias("size")).count()
-            .orderBy(F.desc("count"), F.desc("size")).first())
-    length = size["size"] if size else 0
-    each = each.withColumn("v", F.when(F.size("v") == length, F.col("v")))
     keyed = each.select("vec_id", "v", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("h1"),
                         F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), F.col("v"))).alias("h2"))
     rows = stored(keyed.select("vec_id", "h1", "h2"), "vector-rows")
@@ -242,32 +256,49 @@ def vector_classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, stored(classes, "vectors")
 
 
-def assign(classes: DataFrame, centroids: np.ndarray, overlap: int) -> DataFrame:
+def fit_lengths(classes: DataFrame, overlap: int, shard_size: int, sample: int, max_clusters: int) -> dict[int, np.ndarray]:
+    """Centroids by vector length, for lengths of more than ``shard_size`` vectors
+    (so at most one in ``shard_size`` vectors names one); as many that a shard
+    holds about ``shard_size`` vectors, copies of the overlap included."""
+    sizes = (classes.groupBy(F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") > shard_size).collect())
+    if not sizes:
+        return {}
+    count = {r["size"]: r["n"] for r in sizes}
+    picked = classes.where(F.size("v").isin(list(count))).orderBy(F.xxhash64("id")).limit(sample).select("v").toArrow()
+    return {length: fit_centroids(unit(matrix(rows["v"])), min(max_clusters, -(-count[length] * overlap // shard_size)))
+            for length, rows in by_length(picked)}
+
+
+def assign(classes: DataFrame, centroids: dict[int, np.ndarray], overlap: int) -> DataFrame:
     """Every class in its nearest clusters: shard, shards (all of its own), id, v (unit), times."""
-    overlap = min(overlap, len(centroids))
+    lists = lambda m: pa.ListArray.from_arrays(
+        pa.array(np.arange(0, m.size + 1, m.shape[1]), pa.int32()), pa.array(m.ravel()))
 
     def run(batches):
         for batch in batches:
-            x = unit(matrix(batch.column(1)))
-            if not len(x):
-                continue
-            near = np.sort(np.argpartition(-(x @ centroids.T), overlap - 1, axis=1)[:, :overlap], 1)
-            pick = pa.array(np.repeat(np.arange(len(x)), overlap))
-            lists = lambda m: pa.ListArray.from_arrays(
-                pa.array(np.arange(0, m.size + 1, m.shape[1]), pa.int32()), pa.array(m.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(near.ravel().astype(np.int32)), lists(near.astype(np.int32)).take(pick),
-                 batch.column(0).take(pick), lists(x).take(pick), batch.column(2).take(pick)],
-                ["shard", "shards", "id", "v", "times"])
+            for length, rows in by_length(batch):
+                x = unit(matrix(rows["v"]))
+                near = np.zeros((len(x), 1), np.int64)
+                if length in centroids:
+                    c = centroids[length]
+                    most = min(overlap, len(c))
+                    near = np.sort(np.argpartition(-(x @ c.T), most - 1, axis=1)[:, :most], 1)
+                near = near + length * LENGTH_STEP
+                pick = pa.array(np.repeat(np.arange(len(x)), near.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(near.ravel()), lists(near).take(pick), rows["id"].take(pick), lists(x).take(pick),
+                     rows["times"].take(pick)], ["shard", "shards", "id", "v", "times"])
     return classes.select("id", "v", "times").mapInArrow(
-        run, "shard int, shards array<int>, id long, v array<double>, times long")
+        run, "shard long, shards array<long>, id long, v array<double>, times long")
 
 
 def tasks(assigned: DataFrame, shard_limit: int) -> DataFrame:
     """Adds block, i and j: the task (shard, i, j) gets the blocks i and j of its
     shard; a shard within the limit is one block and one task."""
-    sizes = assigned.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each cluster
-    split = [(r.shard, -(-2 * r.n // shard_limit)) for r in sizes if r.n > shard_limit]
+    sizes = (assigned.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") > shard_limit).collect())  # a row for a large cluster
+    split = [(r.shard, -(-2 * r.n // shard_limit)) for r in sizes]
     count = F.lit(1)
     if split:
         blocks = F.create_map(*[F.lit(v) for pair in split for v in pair])
@@ -279,7 +310,7 @@ def tasks(assigned: DataFrame, shard_limit: int) -> DataFrame:
             .drop("_blocks", "_o"))
 
 
-def link_counts(classes: DataFrame, centroids: np.ndarray, least: float, overlap: int, degree: int, candidates: int,
+def link_counts(classes: DataFrame, centroids: dict[int, np.ndarray], least: float, overlap: int, degree: int, candidates: int,
                 alpha: float, beam: int, slack: float, shard_limit: int) -> DataFrame:
     """(id, n, root) from every task: links counted there (with repeated rows)
     and the smallest id the vector is connected with there."""
@@ -308,7 +339,7 @@ def link_counts(classes: DataFrame, centroids: np.ndarray, least: float, overlap
         a, b = search(x, graph, least, beam, slack)
         own = matrix(table["shards"])
         both = own[a][:, :, None] == own[b][:, None, :]
-        first = np.where(both.any(2), own[a], np.iinfo(np.int32).max).min(1)
+        first = np.where(both.any(2), own[a], np.iinfo(np.int64).max).min(1)
         mine = (first == shard) & ((block[a] != block[b]) | (i == j))
         a, b = a[mine], b[mine]
         times = table["times"].to_numpy()
@@ -322,23 +353,28 @@ def link_counts(classes: DataFrame, centroids: np.ndarray, least: float, overlap
     return dealt.join(united, "id").groupBy("shard", "i", "j").applyInArrow(find, "id long, n long, root long")
 
 
-def audit(classes: DataFrame, counts: DataFrame, least: float, sample: int) -> tuple[int, int]:
-    """(links found, links there) of at most ``sample`` vectors, against brute force."""
-    picked = (classes.orderBy(F.xxhash64("id", F.lit(3))).limit(sample).select("id", "v").toArrow())
-    ids, q = picked["id"].to_numpy(), unit(matrix(picked["v"]))
+def audit(classes: DataFrame, counts: DataFrame, least: float, sample: int) -> tuple[int, int, float]:
+    """Against brute force, for at most ``sample`` vectors: links found, links
+    there, and the mean share of its links that a vector which has any finds."""
+    picked = classes.orderBy(F.xxhash64("id", F.lit(3))).limit(sample).select("id", "v").toArrow()
+    queries = {length: (rows["id"].to_numpy(), unit(matrix(rows["v"]))) for length, rows in by_length(picked)}
 
     def run(batches):
         for batch in batches:
-            x = unit(matrix(batch.column(1)))
-            if len(x):
-                hit = (x @ q.T >= least) & (batch.column(0).to_numpy()[:, None] != ids)
-                yield pa.RecordBatch.from_arrays([pa.array([int((hit * batch.column(2).to_numpy()[:, None]).sum())])], ["n"])
-    there = classes.select("id", "v", "times").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
-    found = counts.where(F.col("id").isin([int(i) for i in ids])).agg(F.sum("n")).first()[0] or 0
-    return found, there
-
-
-def near_duplicates(vectors: DataFrame, least: float = 0.95, shard_size: int = 1500, overlap: int = 4, degree: int = 16,
+            for length, rows in by_length(batch):
+                if length in queries:
+                    ids, q = queries[length]
+                    hit = (unit(matrix(rows["v"])) @ q.T >= least) & (rows["id"].to_numpy()[:, None] != ids)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids), pa.array((hit * rows["times"].to_numpy()[:, None]).sum(0))], ["id", "there"])
+    there = classes.select("id", "v", "times").mapInArrow(run, "id long, there long").groupBy("id").agg(F.sum("there").alias("there"))
+    found = counts.groupBy("id").agg(F.sum("n").alias("found"))
+    rows = there.where("there > 0").join(found, "id", "left").select("there", F.coalesce("found", F.lit(0)).alias("found")).collect()
+    shares = [r.found / r.there for r in rows]
+    return sum(r.found for r in rows), sum(r.there for r in rows), sum(shares) / len(shares) if shares else 1.0
+
+
+def near_duplicates(vectors: DataFrame, least: float = 0.95, shard_size: int = 3000, overlap: int = 4, degree: int = 16,
                     candidates: int = 48, alpha: float = 1.2, beam: int = 32, slack: float = 0.15,
                     shard_limit: int = 4000, sample: int = 10_000, max_clusters: int = 4096,
                     audit_sample: int = 500, min_recall: float = 0.95, log=None) -> DataFrame:
@@ -349,16 +385,15 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, shard_size: int = 1
     if not n:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
-    fitted = unit(matrix(classes.orderBy(F.xxhash64("id")).limit(sample).select("v").toArrow()["v"]))
-    k = max(1, min(max_clusters, -(-n // shard_size)))
-    centroids = fit_centroids(fitted, k)
+    centroids = fit_lengths(classes, overlap, shard_size, sample, max_clusters)
+    k = max([1, *map(len, centroids.values())])
     while True:
         counts = stored(link_counts(classes, centroids, least, overlap, degree, candidates, alpha, beam, slack,
                                     shard_limit), "vector-links")
-        found, there = audit(classes, counts, least, audit_sample)
+        found, there, mean = audit(classes, counts, least, audit_sample)
         if log is not None:
-            log.append({"overlap": overlap, "beam": beam, "found": found, "there": there})
-        if found >= min_recall * there or (overlap >= k and beam >= n):
+            log.append({"overlap": overlap, "beam": beam, "found": found, "there": there, "mean": mean})
+        if (found >= min_recall * there and mean >= min_recall) or (overlap >= k and beam >= n):
             break
         overlap, beam = min(k, overlap * 2), beam * 2
     degree_of = counts.groupBy("id").agg(F.sum("n").alias("n"))
