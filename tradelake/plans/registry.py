@@ -897,3 +897,19 @@ def q_stream_mart_vwap(spark, sf):
         INC.start_refresh(P.bronze_stream(spark, bronze), bronze, cpath, vpath, opath, ck,
                           available_now=True).awaitTermination()
     return spark.read.parquet(vpath).select(*MART_VWAP_COLUMNS)
+
+
+from tradelake.streaming import rolling_state as RS  # noqa: E402
+
+
+@register("stream_vwap_state", W(O.vwap_ctes(), "select * from mart_vwap"),
+          note="ring of 60 candles and open hours as keyed state, over three runs; equals the batch mart")
+def q_stream_vwap_state(spark, sf):
+    src, out, ck = (new_scratch_path(spark, n) for n in ("state_candles", "state_vwap", "state_ck"))
+    candles = ohlcv(events_stg(spark, sf))
+    before = F.unix_millis("candle_time") < SPLIT_MS
+    clock = candles.limit(1).withColumns({"symbol": F.lit(CLOCK), "candle_time": F.timestamp_millis(F.lit(1_735_689_600_000))})
+    for part in (candles.where(before), candles.where(~before), clock):
+        part.write.mode("append").parquet(src)
+        P.write_append(RS.rolling_vwap_state(RS.candle_stream(spark, src)), out, ck).awaitTermination()
+    return spark.read.parquet(out).select(*MART_VWAP_COLUMNS)
