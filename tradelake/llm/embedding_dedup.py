@@ -256,17 +256,17 @@ def vector_classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, stored(classes, "vectors")
 
 
-def fit_lengths(classes: DataFrame, overlap: int, shard_size: int, sample: int, max_clusters: int) -> dict[int, np.ndarray]:
+def fit_lengths(classes: DataFrame, shard_size: int, sample: int, max_clusters: int) -> dict[int, np.ndarray]:
     """Centroids by vector length, for lengths of more than ``shard_size`` vectors
-    (so at most one in ``shard_size`` vectors names one); as many that a shard
-    holds about ``shard_size`` vectors, copies of the overlap included."""
+    (so at most one in ``shard_size`` vectors names one), one for each
+    ``shard_size`` vectors; the overlap makes shards that much larger."""
     sizes = (classes.groupBy(F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("n"))
              .where(F.col("n") > shard_size).collect())
     if not sizes:
         return {}
     count = {r["size"]: r["n"] for r in sizes}
     picked = classes.where(F.size("v").isin(list(count))).orderBy(F.xxhash64("id")).limit(sample).select("v").toArrow()
-    return {length: fit_centroids(unit(matrix(rows["v"])), min(max_clusters, -(-count[length] * overlap // shard_size)))
+    return {length: fit_centroids(unit(matrix(rows["v"])), min(max_clusters, -(-count[length] // shard_size)))
             for length, rows in by_length(picked)}
 
 
@@ -374,7 +374,7 @@ def audit(classes: DataFrame, counts: DataFrame, least: float, sample: int) -> t
     return sum(r.found for r in rows), sum(r.there for r in rows), sum(shares) / len(shares) if shares else 1.0
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.95, shard_size: int = 3000, overlap: int = 4, degree: int = 16,
+def near_duplicates(vectors: DataFrame, least: float = 0.95, shard_size: int = 1500, overlap: int = 4, degree: int = 16,
                     candidates: int = 48, alpha: float = 1.2, beam: int = 32, slack: float = 0.15,
                     shard_limit: int = 4000, sample: int = 10_000, max_clusters: int = 4096,
                     audit_sample: int = 500, min_recall: float = 0.95, log=None) -> DataFrame:
@@ -385,7 +385,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, shard_size: int = 3
     if not n:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
-    centroids = fit_lengths(classes, overlap, shard_size, sample, max_clusters)
+    centroids = fit_lengths(classes, shard_size, sample, max_clusters)
     k = max([1, *map(len, centroids.values())])
     while True:
         counts = stored(link_counts(classes, centroids, least, overlap, degree, candidates, alpha, beam, slack,
