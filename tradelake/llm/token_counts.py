@@ -8,10 +8,11 @@ kept one only if its score is strictly larger, starts are tried from left to
 right, a character without a piece of its own costs the smallest score less
 ten, and with byte fallback stands for its UTF-8 bytes.
 
-The scores must be log-probabilities, so the vocabulary is one that
-SentencePiece trains as a Unigram model on a bounded sample of the documents
-(the public models are all BPE, their scores are merge ranks).  Nothing is
-normalised, so counts are those of that model's own encoder.
+No tokenizer is trained.  The pieces are those of a public vocabulary, whose
+model is a BPE: its scores are merge ranks and not probabilities.  Pieces are in
+the order of merges, which is that of their frequency, so each one's probability
+is taken from its place by Zipf's law.  Nothing is normalised, so counts are those
+of the ``tokenizers`` library's Unigram model over the same pieces and scores.
 
 Words repeat, so counts of words are kept in a bounded cache of the worker
 process.  Defined results: a null or empty text has no tokens and score 0; null
@@ -20,34 +21,25 @@ ids and repeated rows are counted like others; other columns are ignored.
 
 from __future__ import annotations
 
-import io
-import re
+import math
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import stored
-
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
 
-# Bounds of the training: documents, characters of each, pieces.
-SAMPLE_DOCS, SAMPLE_CHARS, PIECES = 1_000, 4_000, 16_000
+VOCABULARY = "piece_bpe_32k.model"
 
 
 class UnigramCounter:
-    """Counts pieces of words; ``vocabulary``: (piece, score) pairs.  Pieces in
-    ``reserved`` stand for no text; with ``lead`` a blank is put before every
-    text, also one that begins with a blank."""
+    """Counts pieces of words; ``vocabulary``: (piece, score) pairs."""
 
-    def __init__(self, vocabulary: list[tuple[str, float]], cached: int = 400_000,
-                 reserved: frozenset[str] = frozenset(), lead: bool = False):
+    def __init__(self, vocabulary: list[tuple[str, float]], cached: int = 400_000):
         import ahocorasick
 
         known = {p for p, _ in vocabulary}
-        vocabulary = [(p, s) for p, s in vocabulary if p not in reserved]
-        self.lead = lead
         self.matches = ahocorasick.Automaton()
         for piece, score in vocabulary:
             if piece and piece not in self.matches:
@@ -90,7 +82,7 @@ class UnigramCounter:
             return 0, 0.0
         marked = text.replace(" ", BLANK)
         words = marked.split(BLANK)
-        if marked[0] == BLANK and not self.lead:
+        if marked[0] == BLANK:
             del words[0]
         cache, pieces, score = self.cache, 0, 0.0
         for w in words:
@@ -106,67 +98,39 @@ class UnigramCounter:
         return pieces, score
 
 
-def vocabulary(name: str) -> list[tuple[str, float]]:
-    """Pieces and scores of a public SentencePiece model, in the order of ids."""
+def vocabulary(path: str | None = None) -> list[tuple[str, float]]:
+    """Pieces of a SentencePiece model file (default: the public one) in the order
+    of ids, with the logarithm of their probability by Zipf's law: 1 / place, all
+    places summing to one."""
     import public_tokenizers
     import sentencepiece
 
-    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
-    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
-
-
-def train(docs: DataFrame, sample: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS, pieces: int = PIECES) -> bytes:
-    """A SentencePiece Unigram model of at most ``pieces`` pieces, trained on the
-    first ``chars`` characters of at most ``sample`` documents, those with the
-    smallest hashes; it is stored in the shared folder."""
-    import sentencepiece
-
-    text = F.col("text").cast("string")
-    rows = docs.select(F.xxhash64("doc_id", text).alias("h"), text.alias("text")).where(F.length("text") > 0)
-    # a quarter more than asked for, so that no task returns many rows
-    share = min(1.0, 1.25 * sample / max(1, rows.count()))
-    some = (rows.where(F.col("h") <= min(2**63 - 1, int(share * 2**64) - 2**63))
-            .select("h", F.substring("text", 1, chars).alias("text")).distinct().orderBy("h", "text").limit(sample))
-    # the trainer passes over lines with tabs and with its own mark
-    lines = [x for r in some.collect() for x in re.split("[\0\t\n\r\u2585]", r.text) if x]
-    model = io.BytesIO()
-    sentencepiece.SentencePieceTrainer.train(
-        sentence_iterator=iter(lines or [" "]), model_writer=model, model_type="unigram", vocab_size=pieces,
-        hard_vocab_limit=False, byte_fallback=True, normalization_rule_name="identity", remove_extra_whitespaces=False,
-        max_sentence_length=8 * chars, num_threads=4, minloglevel=2)
-    made = docs.sparkSession.createDataFrame([(bytearray(model.getvalue()),)], "model binary")
-    return bytes(stored(made, "unigram-model").first()[0])
-
-
-def model_counter(model: bytes) -> UnigramCounter:
-    """A counter that agrees with the encoder of a model from ``train``."""
-    import sentencepiece
-
-    m = sentencepiece.SentencePieceProcessor(model_proto=model)
-    ids = range(m.get_piece_size())
-    reserved = frozenset(m.id_to_piece(i) for i in ids if m.is_control(i) or m.is_unknown(i) or m.is_byte(i))
-    return UnigramCounter([(m.id_to_piece(i), m.get_score(i)) for i in ids], reserved=reserved, lead=True)
+    model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path(VOCABULARY))
+    size = model.get_piece_size()
+    total = math.log(math.fsum(1 / place for place in range(1, size + 1)))
+    return [(model.id_to_piece(i), -math.log(i + 1) - total) for i in range(size)]
 
 
-_COUNTERS: dict[bytes, UnigramCounter] = {}
+_COUNTERS: dict[int, UnigramCounter] = {}
 
 
-def counter(model: bytes) -> UnigramCounter:
-    """The counter of a model, kept in the worker until another model comes."""
-    if model not in _COUNTERS:
+def counter(pieces: tuple[tuple[str, float], ...]) -> UnigramCounter:
+    """The counter of a vocabulary, kept in the worker until another one comes."""
+    key = hash(pieces)
+    if key not in _COUNTERS:
         _COUNTERS.clear()
-        _COUNTERS[model] = model_counter(model)
-    return _COUNTERS[model]
+        _COUNTERS[key] = UnigramCounter(list(pieces))
+    return _COUNTERS[key]
 
 
-def token_counts(docs: DataFrame, model: bytes | None = None) -> DataFrame:
-    """doc_id, n_tokens and the score of the best path for every row, by a
-    Unigram model of ``train``; without one it is trained on ``docs``."""
+def token_counts(docs: DataFrame, pieces: list[tuple[str, float]] | None = None) -> DataFrame:
+    """doc_id, n_tokens and the score of the best path for every row, by the given
+    (piece, score) pairs or else those of ``vocabulary``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    model = train(docs) if model is None else model
+    chosen = tuple(vocabulary() if pieces is None else pieces)
 
     def run(batches):
-        c = counter(model)
+        c = counter(chosen)
         for batch in batches:
             found = [c.text(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
