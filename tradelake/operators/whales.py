@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.functions import BUY, SELL, round_half_away, safe_div, whale_tier, xavg, xsum
@@ -34,23 +34,31 @@ def hourly_context(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD
     """Per (symbol, hour): the totals of all trades and of its whales, in one
     aggregate.  Write it before joining: a join to a written table is one that
     AQE can split where an hour holds very many whales."""
-    v, s = F.col("volume_usd"), F.col("side")
-    big = v >= F.lit(float(threshold))
     return (trades.groupBy("symbol", F.date_trunc("hour", "traded_at").alias("hour"))
-            .agg(xsum("volume_usd", 6).alias("hour_total_volume_usd"),
-                 F.count(F.lit(1)).alias("hour_total_trades"),
-                 F.count_if(big).alias("hour_whale_count"),
-                 round_half_away(xsum(F.when(big, v), 6), 2).alias("hour_whale_volume"),
-                 round_half_away(xsum(F.when(big & (s == F.lit(BUY)), v).when(big, -v), 6), 2).alias("hour_net_pressure"),
-                 F.count_if(big & (whale_tier(v) == F.lit("mega"))).alias("hour_mega_count"))
+            .agg(*context_aggs(threshold))
             .where(F.col("hour_whale_count") > 0))
 
 
+def context_aggs(threshold: float = DEFAULT_WHALE_THRESHOLD) -> list[Column]:
+    """The measures of an hour: all its trades, and its whales."""
+    v, s = F.col("volume_usd"), F.col("side")
+    big = v >= F.lit(float(threshold))
+    return [xsum("volume_usd", 6).alias("hour_total_volume_usd"),
+            F.count(F.lit(1)).alias("hour_total_trades"),
+            F.count_if(big).alias("hour_whale_count"),
+            round_half_away(xsum(F.when(big, v), 6), 2).alias("hour_whale_volume"),
+            round_half_away(xsum(F.when(big & (s == F.lit(BUY)), v).when(big, -v), 6), 2).alias("hour_net_pressure"),
+            F.count_if(big & (whale_tier(v) == F.lit("mega"))).alias("hour_mega_count")]
+
+
 def with_hour(whales: DataFrame, context: DataFrame) -> DataFrame:
     """Whales beside their hour: one join for all measures of the hour."""
-    return (whales.join(context, ["symbol", "hour"], "left")
-            .withColumn("pct_of_hour_volume", round_half_away(
-                safe_div(F.col("volume_usd"), F.col("hour_total_volume_usd")) * F.lit(100.0), 4)))
+    return share_of_hour(whales.join(context, ["symbol", "hour"], "left"))
+
+
+def share_of_hour(whales: DataFrame) -> DataFrame:
+    return whales.withColumn("pct_of_hour_volume", round_half_away(
+        safe_div(F.col("volume_usd"), F.col("hour_total_volume_usd")) * F.lit(100.0), 4))
 
 
 def whale_trades(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD,

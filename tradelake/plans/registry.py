@@ -880,6 +880,38 @@ def q_stream_dedup_settled(spark, sf):
     return spark.read.parquet(out).select(*events_stg(spark, sf).columns)
 
 
+@register("stream_whale_context", W(WT, """
+  select trade_id, symbol, hour, volume_usd, hour_total_volume_usd, hour_total_trades, pct_of_hour_volume
+  from whale_trades"""), note="stream-stream join; a whale is emitted when its hour is closed, across a restart")
+def q_stream_whale_context(spark, sf):
+    src, out, ck = (new_scratch_path(spark, n) for n in ("silver_src", "stream_context", "context_ck"))
+    trades = cut(lineitem_stg(spark, sf))
+    late = F.pmod(F.xxhash64("trade_id"), F.lit(2)) == 1        # half of every hour comes after the restart
+    clock = trades.limit(1).withColumns({"symbol": F.lit(CLOCK), "traded_at": F.lit("2100-01-01").cast("timestamp")})
+    for part in (trades.where(~late), trades.where(late), clock):
+        part.select(*trades.columns).write.mode("append").parquet(src)
+        P.write_append(P.whale_context_stream(P.silver_stream(spark, src, "3650 days"), WHALE_THRESHOLD),
+                       out, ck).awaitTermination()
+    return spark.read.parquet(out).select("trade_id", "symbol", "hour", "volume_usd", "hour_total_volume_usd",
+                                          "hour_total_trades", "pct_of_hour_volume")
+
+
+from tradelake.sources.history import TradeHistory  # noqa: E402
+
+
+@register("dedup_incremental", W(O.silver_ctes("lineitem")[:2], "select * from deduped"),
+          note="three batches against a bucketed history; copies of a key are spread over the batches")
+def q_dedup_incremental(spark, sf):
+    path = new_scratch_path(spark, "history")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    history = TradeHistory(spark, path.rsplit("/", 1)[-1].replace("-", "_"), path, buckets)
+    trades = lineitem_trades(spark, sf)
+    part = F.pmod(F.xxhash64("trade_id", "price", "ingested_at"), F.lit(3))
+    for i in range(3):
+        history.add(trades.where(part == i))
+    return history.current()
+
+
 from tradelake.schema import MART_VWAP_COLUMNS  # noqa: E402
 from tradelake.streaming import incremental as INC  # noqa: E402
 

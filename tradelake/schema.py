@@ -42,6 +42,14 @@ STG_TRADES_COLUMNS = [
     "is_buyer", "traded_at", "timestamp_ms", "ingested_at",
 ]
 
+# Clean trades as the streams write them.
+STG_READ_SCHEMA = T.StructType(
+    [T.StructField("trade_id", T.LongType()), T.StructField("symbol", T.StringType()), T.StructField("price", T.DoubleType()),
+     T.StructField("quantity", T.DoubleType()), T.StructField("volume_usd", T.DoubleType()),
+     T.StructField("side", T.StringType()), T.StructField("is_buyer", T.BooleanType()),
+     T.StructField("traded_at", T.TimestampType()), T.StructField("timestamp_ms", T.LongType()),
+     T.StructField("ingested_at", T.TimestampType())])
+
 OHLCV_COLUMNS = [
     "symbol", "candle_time", "open", "high", "low", "close", "volume",
     "volume_usd", "trade_count", "buy_count", "sell_count", "buy_volume",

@@ -9,7 +9,9 @@ the watermark and the sink differ.
                       candle is emitted once the watermark passes its end);
 * ``whale_alerts``    stateless filter of large trades;
 * ``whale_context_batch``  per micro-batch join of new whales to the current
-                      hourly market table (static side re-read each batch).
+                      hourly market table (static side re-read each batch);
+* ``whale_context_stream``  stream-stream join of whales with their hour, each
+                      emitted once the hour is closed, so its context is final.
 
 Batch dedup keeps the least ``ingested_at``; the stream keeps the first
 arrival.  They agree whenever copies arrive in ingestion order.
@@ -26,8 +28,8 @@ from tradelake.functions import round_half_away, safe_div, xsum
 from tradelake.functions.expressions import DEFAULT_WHALE_THRESHOLD
 from tradelake.operators.candles import candle_aggs
 from tradelake.operators.silver import DEDUP_KEYS, clean_trades
-from tradelake.operators.whales import whale_base, whale_filter, with_hour
-from tradelake.schema import BRONZE_COLUMNS, BRONZE_READ_SCHEMA, OHLCV_COLUMNS
+from tradelake.operators.whales import context_aggs, share_of_hour, whale_base, whale_filter, with_hour
+from tradelake.schema import BRONZE_COLUMNS, BRONZE_READ_SCHEMA, OHLCV_COLUMNS, STG_READ_SCHEMA
 from tradelake.sources.bronze import write_bronze
 from tradelake.sources.raw import parse_with_rejects
 
@@ -165,3 +167,32 @@ def whale_context_batch(hourly_market_path: str, out_path: str,
         hourly = batch.sparkSession.read.parquet(hourly_market_path)
         _write_batch(with_hour(whale_base(batch, threshold), hourly), batch_id, out_path)
     return run
+
+
+def silver_stream(spark: SparkSession, path: str, watermark: str = "10 minutes",
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Clean trades from the files that ``stream_trades`` or ``settled_trades`` write."""
+    r = spark.readStream.schema(STG_READ_SCHEMA).format("parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path).withWatermark("traded_at", watermark)
+
+
+def whale_context_stream(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD) -> DataFrame:
+    """Whales of a clean trade stream (with a watermark on ``traded_at``) beside the
+    final totals of their hour.
+
+    The hour's totals are an event-time aggregate, which comes out once when the
+    watermark passes the hour's end; whales wait for it in the join's state, which the
+    time bound on both sides clears.  So no whale is emitted with half an hour's totals,
+    and nothing has to be corrected later.  The join is an outer one: a whale whose
+    hour closed before it arrived has null totals.
+    """
+    whales = whale_base(trades, threshold)
+    hours = (trades.groupBy(F.col("symbol").alias("_symbol"), F.window("traded_at", "1 hour").alias("_w"))
+             .agg(*context_aggs(threshold))
+             .withColumn("_close", F.window_time("_w")).withColumn("_hour", F.col("_w.start")).drop("_w"))
+    within = ((F.col("symbol") == F.col("_symbol")) & (F.col("hour") == F.col("_hour"))
+              & (F.col("_close") >= F.col("traded_at"))
+              & (F.col("_close") < F.col("traded_at") + F.expr("interval 1 hour")))
+    return share_of_hour(whales.join(hours, within, "leftOuter").drop("_symbol", "_hour", "_close"))
