@@ -4,6 +4,11 @@ Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor
 kept.  ``run`` writes each stage's result to the shared folder and reads it
 again, as a scheduled job would, so a lost executor costs one stage at most.
 The two stages that store many intermediates remove them before they return.
+
+Defined results, for every stage: a null text counts as an empty one and stays
+null unless a line is taken out of it; rows of one id, or of no id, are rows of
+their own; an empty table gives an empty one; columns beyond those of documents
+stay as they are up to mixing, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,18 +20,21 @@ from tradelake.llm.common import settled, stored, table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score under 0.3; the model is learned from ``docs`` and the labels."""
+    """Documents with a score under 0.3; the model is learned from ``docs`` and the labels.
+    Null and empty texts and those without a lexicon entry are clean and stay."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.filter_clean(docs, model)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that repeat an earlier line; all rows stay."""
+    """Texts without the lines that repeat an earlier line; all rows stay.  Of equal rows
+    one keeps its lines."""
     return settled(lambda: line_dedup.drop_repeated_lines(docs, max_edits=2, min_chars=24), "line-dedup")
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates."""
+    """One document of each group of SimHash near-duplicates, that of the smallest id.
+    Texts without a word have fingerprint zero and form one group."""
     return settled(lambda: simhash.keep_one(docs, shingle=3, max_bits=2), "near-duplicates")
 
 
