@@ -134,3 +134,23 @@ def test_time_range_filter_prunes_days(spark):
     assert "PartitionFilters: [" in plan and "concat_ws" in plan
     exp = event_trades(spark, SF_SMALL).where((F.col("timestamp") >= start) & (F.col("timestamp") < end))
     assert q.count() == exp.count() > 0
+
+
+def test_frames_are_typed_once(spark):
+    """The reason feeds a filter and a group: neither may type the fields anew."""
+    from tradelake.plans.registry import event_frames
+    rejects = R.reject_counts(R.parse_rejects(event_frames(spark, SF_SMALL).select("value", "timestamp")))
+    plan = rejects._jdf.queryExecution().optimizedPlan().toString()
+    assert "_m#" in plan and plan.count("try_cast(_m#") == 5
+
+
+def test_frames_of_a_small_file_are_made_by_all_tasks(spark):
+    from tradelake.plans.registry import event_frames
+    assert event_frames(spark, SF_SMALL).rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_frame_columns_do_not_clash_with_the_parse(spark):
+    bare = '{"e":"trade","s":"X","t":"x","p":"1","q":"2","T":1,"m":null}'
+    odd = frames(spark, [bare, bare.replace('"x"', "7")]).withColumn("reject_reason", F.lit("old"))
+    rows = R.parse_with_rejects(odd).select("trade_id", "reject_reason", "side").collect()
+    assert sorted(map(tuple, rows), key=str) == [(7, None, "BUY"), (None, "bad_number:t", "BUY")]

@@ -61,39 +61,42 @@ def damaged_frames(frames: DataFrame) -> DataFrame:
             .where(F.col("whole") != F.col("value")).select("value", "timestamp"))
 
 
-def _parsed(frames: DataFrame, value_col: str = "value") -> DataFrame:
-    """Parse each frame once.  The parsed map feeds a dozen expressions; the
-    one-element ``explode`` keeps the optimizer from inlining (re-parsing)
-    it into each of them."""
-    outer = F.from_json(F.col(value_col).cast("string"), MAP)
-    step1 = frames.select("*", F.explode(F.array(outer)).alias("_outer"))
-    o = F.col("_outer")
+def _parsed(frames: DataFrame) -> DataFrame:
+    """Parse each frame's ``raw`` text once, type its fields once and judge it once:
+    columns ``_m`` (the parsed map), ``_v`` (typed fields) and ``reject_reason``.
+    Each feeds several expressions and a filter; the one-element ``explode`` keeps the
+    optimizer from inlining (re-computing) it into each of them."""
+    o, m = F.col("_outer"), F.col("_m")
     inner = F.when(F.map_contains_key(o, "data"), F.from_json(o["data"], MAP)).otherwise(o)
-    return step1.select("*", F.explode(F.array(inner)).alias("_m"))
+    missing = F.coalesce(*[F.when(~F.map_contains_key(m, k), F.lit(k)) for k in RAW_REQUIRED_KEYS])
+    typed = F.struct(missing.alias("missing"), m["t"].try_cast("long").alias("id"), m["p"].try_cast("double").alias("price"),
+                     m["q"].try_cast("double").alias("quantity"), m["T"].try_cast("long").alias("ms"),
+                     m["m"].try_cast("boolean").alias("maker"))
+    out = frames
+    for name, made in (("_outer", F.from_json("raw", MAP)), ("_m", inner), ("_v", typed), ("reject_reason", _reason())):
+        out = out.select("*", F.explode(F.array(made)).alias(name))
+    return out
 
 
 def _reason() -> Column:
-    m = F.col("_m")
-    missing = [F.when(~F.map_contains_key(m, k), F.lit(k)) for k in RAW_REQUIRED_KEYS]
-    first_missing = F.coalesce(*missing)
+    m, v = F.col("_m"), F.col("_v")
     return (F.when(F.col("_outer").isNull(), F.lit("malformed_json"))
             .when(m.isNull(), F.lit("malformed_envelope"))
-            .when(first_missing.isNotNull(), F.concat(F.lit("missing_field:"), first_missing))
+            .when(v["missing"].isNotNull(), F.concat(F.lit("missing_field:"), v["missing"]))
             .when(F.coalesce(m["s"], F.lit("")) == "", F.lit("bad_value:s"))
-            .when(m["t"].try_cast("long").isNull(), F.lit("bad_number:t"))
-            .when(~finite(m["p"]), F.lit("bad_number:p"))
-            .when(~finite(m["q"]), F.lit("bad_number:q"))
-            .when(m["T"].try_cast("long").isNull(), F.lit("bad_number:T"))
-            .when(~m["T"].try_cast("long").between(0, LAST_MS), F.lit("out_of_range:T"))
-            .when(m["m"].isNotNull() & m["m"].try_cast("boolean").isNull(), F.lit("bad_value:m")))
+            .when(v["id"].isNull(), F.lit("bad_number:t"))
+            .when(~finite(v["price"]), F.lit("bad_number:p"))
+            .when(~finite(v["quantity"]), F.lit("bad_number:q"))
+            .when(v["ms"].isNull(), F.lit("bad_number:T"))
+            .when(~v["ms"].between(0, LAST_MS), F.lit("out_of_range:T"))
+            .when(m["m"].isNotNull() & v["maker"].isNull(), F.lit("bad_value:m")))
 
 
 LAST_MS = 253_402_300_799_999   # the last millisecond of the year 9999
 
 
-def finite(text: Column) -> Column:
-    """Whether a text is a number, and neither NaN nor infinite."""
-    v = text.try_cast("double")
+def finite(v: Column) -> Column:
+    """Whether a double is a number, and neither NaN nor infinite."""
     return F.coalesce(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), F.lit(False))
 
 
@@ -106,20 +109,17 @@ def parse_with_rejects(frames: DataFrame, value_col: str = "value",
     """
     arr = arrival if arrival is not None else (
         F.col("timestamp") if "timestamp" in frames.columns else F.current_timestamp())
-    p = _parsed(frames, value_col).withColumn("_arrival", arr).withColumn("reject_reason", _reason())
-    m = F.col("_m")
-    price = m["p"].try_cast("double")
-    qty = m["q"].try_cast("double")
-    maker = m["m"].try_cast("boolean")
-    side = side_from_maker(maker)
+    p = _parsed(frames.select(F.col(value_col).cast("string").alias("raw"), arr.alias("_arrival")))
+    m, v = F.col("_m"), F.col("_v")
+    side = side_from_maker(v["maker"])
     return p.select(
-        F.col(value_col).cast("string").alias("raw"), "reject_reason",
+        "raw", "reject_reason",
         m["e"].alias("event_type"), m["s"].alias("symbol"),
-        m["t"].try_cast("long").alias("trade_id"),
-        price.alias("price"), qty.alias("quantity"),
-        round_half_away(price * qty, 6).alias("volume_usd"),
+        v["id"].alias("trade_id"),
+        v["price"].alias("price"), v["quantity"].alias("quantity"),
+        round_half_away(v["price"] * v["quantity"], 6).alias("volume_usd"),
         side.alias("side"), (side == F.lit(BUY)).alias("is_buyer"),
-        m["T"].try_cast("long").alias("timestamp"),
+        v["ms"].alias("timestamp"),
         iso_utc(F.col("_arrival")).alias("ingested_at"),
     )
 
