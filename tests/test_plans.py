@@ -76,3 +76,15 @@ def test_whale_join_splits_a_hot_hour(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert "skew=true" in p
+
+
+def test_dedup_compares_ids_before_symbols(spark):
+    p = REGISTRY["dedup_trades"].run(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in p.split("\n") if "Sort [" in line]
+    assert sorts and all(line.split("Sort [")[1].startswith("trade_id") for line in sorts)
+
+
+def test_whale_rank_reads_written_whales(spark):
+    """The rank reads its input twice: the dedup must not run for each of them."""
+    p = REGISTRY["whale_rank"].run(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "l_shipdate" not in p and "WindowGroupLimit" not in p
