@@ -117,3 +117,19 @@ def test_query_covers_short_lines(spark):
     lines = [x.rstrip(" \t\n\v\f\r") for r in texts if r.text for x in r.text.split("\n")]
     rows = op5_line_dedup(spark, sf)
     assert rows.count() == sum(x != "" for x in lines) > sum(len(x) >= 24 for x in lines)
+
+
+def test_probes_are_made_once_and_indexes_removed(spark, docs, monkeypatch):
+    """Busy keys come out of the join of the calm ones; what the links needed is gone after them."""
+    kept, names = L.stored, []
+    monkeypatch.setattr(L, "stored", lambda df, name: (names.append(name), kept(df, name))[1])
+    import glob
+    from tradelake.session import checkpoint_root
+    root = checkpoint_root(spark).removeprefix("file://").removeprefix("file:")
+    before = set(glob.glob(f"{root}/segments-*") + glob.glob(f"{root}/line-hits-*"))
+    line = "a line that is common to all of these texts {}"
+    texts = docs([(i, line.format(chr(97 + i) * 2)) for i in range(20)] + [(99, "x" * 30), (98, "x" * 30 + "y")])
+    rows = L.line_classes(texts, 2, 24, hot=4).collect()
+    assert "line-hits" in names and "hot-probes" not in names
+    assert set(glob.glob(f"{root}/segments-*") + glob.glob(f"{root}/line-hits-*")) == before
+    assert {r.doc_id: r.n_links for r in rows} == {**{i: 19 for i in range(20)}, 98: 1, 99: 1}

@@ -32,7 +32,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import clear_name, stored
+from tradelake.llm.common import clear_name, settled, stored
 from tradelake.llm.components import connected_components
 
 
@@ -174,13 +174,21 @@ def line_links(lines: DataFrame, max_edits: int = 2, hot: int = 16, crowded: int
     entries = stored(with_keys(lines, max_edits + 1, one_place(max_edits, False), "id"), "segments")
     probes = with_keys(lines, max_edits + 1, one_place(max_edits, True), "id2")
     busy = stored(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot), "hot-segments")
-    # the smaller side of about ``hot`` rows a key is hashed, the probes are not sorted
-    calm_entries = entries.join(busy, "key", "left_anti").hint("shuffle_hash")
-    pairs = (probes.join(calm_entries, "key").where("id <> id2")
+    # Probes, twelve and more a line, are made and shuffled once: a key meets its calm entries
+    # or, if it is busy, one row that says so.  That side is hashed, about ``hot`` rows a key
+    # at most; the probes are not sorted.
+    some_busy = not busy.isEmpty()
+    indexed = entries.join(busy, "key", "left_anti").select("id", "key", F.lit(None).cast("long").alias("n"))
+    if some_busy:
+        indexed = indexed.unionByName(busy.select(F.lit(None).cast("long").alias("id"), "key", "n"))
+    hits = probes.join(indexed.hint("shuffle_hash"), "key").where(F.col("n").isNotNull() | (F.col("id") != F.col("id2")))
+    if some_busy:
+        hits = stored(hits.select("id", "id2", F.when(F.col("n").isNotNull(), F.col("key")).alias("key"), "n"), "line-hits")
+    pairs = (hits.where(F.col("n").isNull())
              .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
-    if not busy.isEmpty():
+    if some_busy:
         own = stored(entries.join(busy, "key"), "hot-entries")
-        seek = stored(probes.join(busy, "key"), "hot-probes")
+        seek = hits.where(F.col("n").isNotNull()).select("id2", "key", "n")
         ids = own.select("id").unionByName(seek.select(F.col("id2").alias("id"))).distinct()
         some = stored(with_letters(chosen(lines, ids)), "hot-lines")
         calm = F.col("n") <= crowded
@@ -252,8 +260,9 @@ def line_classes(docs: DataFrame, max_edits: int = 2, min_chars: int = 24, hot:
              .select(F.monotonically_increasing_id().alias("id"), "line", F.char_length("line").alias("len"), *key))
     lines = stored(lines, "lines")
     texts = lines.select("id", "line", "len")
-    links = stored(scaled_links(texts, max_edits, min_chars, hot) if every_line else line_links(texts, max_edits, hot),
-                   "line-links")
+    # its indexes and candidates are removed before the next step fills the disk
+    links = settled(lambda: scaled_links(texts, max_edits, min_chars, hot) if every_line
+                    else line_links(texts, max_edits, hot), "line-links")
     roots = connected_components(links.select("a", "b"))
     degree = (links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id")
               .agg(F.count(F.lit(1)).alias("n_links")))
