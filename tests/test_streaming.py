@@ -285,3 +285,11 @@ def test_symbols_that_look_like_numbers_stay_text(spark):
     rows = [bronze_rows(spark, [trade(symbol="0700", trade_id=i, ms=MS + i * 60_000)]) for i in (1, 2)]
     got, _ = _refreshed(spark, rows)
     assert sorted(r.symbol for r in got.collect()) == ["0700", "0700"]
+
+
+def test_only_asked_columns_wait_in_the_context_join(spark, monkeypatch):
+    from tradelake.plans import registry
+    write, seen = registry.P.write_append, []
+    monkeypatch.setattr(registry.P, "write_append", lambda df, *a, **k: (seen.append(df.columns), write(df, *a, **k))[1])
+    got = registry.q_stream_whale_context(spark, SF_SMALL)
+    assert len(seen) == 3 and all(c == got.columns for c in seen)
