@@ -96,3 +96,51 @@ def test_whales_wait_for_their_hour_and_have_its_final_totals(spark):
     found = spark.read.parquet(out).where(F.col("symbol") != "CLOCK")
     assert found.where("trade_id <> 5").count() == 3
     assert all(r.hour_total_trades is None for r in found.where("trade_id = 5").collect())
+
+
+def context_runs(spark, runs, watermark):
+    """The query of each run of the context stream and what is there after it."""
+    src, out, ck = (new_scratch_path(spark, n) for n in ("s", "o", "c"))
+    seen = []
+    for part in runs:
+        stg_trades(bronze_rows(spark, part)).coalesce(1).write.mode("append").parquet(src)
+        q = P.write_append(P.whale_context_stream(P.silver_stream(spark, src, watermark), 50_000.0), out, ck)
+        q.awaitTermination()
+        seen.append((q, spark.read.parquet(out).where(F.col("symbol") != "CLOCK")))
+    return seen
+
+
+def test_whales_of_an_hour_wait_in_few_rows(spark):
+    trades = [trade(trade_id=i, price=50_000.0 + i, ms=MS + i * 6_000) for i in range(1, 1_200)]     # two hours
+    clock = [trade(symbol="CLOCK", trade_id=9, ms=MS + 30 * 3_600_000)]
+    (q, _), (_, found) = context_runs(spark, [trades, clock], "3 hours")
+    waiting = [o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"] if "Join" in o["operatorName"]]
+    assert 0 < max(waiting) < 20
+    stg = stg_trades(bronze_rows(spark, trades))
+    want = with_hour(whale_base(stg, 50_000.0), hourly_context(stg, 50_000.0))
+    assert found.columns == whale_base(stg, 50_000.0).columns + [c for c in want.columns if c.startswith(("hour_", "pct_"))]
+    assert rows(found.select(*want.columns)) == rows(want) and found.count() == 1_199
+
+
+def test_late_whales_have_the_totals_of_an_open_hour_or_none(spark):
+    minute = 60_000
+    runs = [[trade(trade_id=1, price=60_000.0, ms=MS + 40 * minute)],
+            [trade(trade_id=2, price=70_000.0, ms=MS + 10 * minute)],               # behind the watermark, 30 minutes past
+            [trade(symbol="CLOCK", trade_id=9, ms=MS + 300 * minute)],
+            [trade(trade_id=3, price=80_000.0, ms=MS + minute)]]
+    found = [sorted((r.trade_id, r.hour_total_trades or 0) for r in f.collect()) for _, f in context_runs(spark, runs, "10 minutes")]
+    assert found[2:] == [[(1, 2), (2, 2)], [(1, 2), (2, 2), (3, 0)]]
+
+
+def test_packed_rows_are_bounded_and_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(P, "CHUNK", 3)
+    monkeypatch.setattr(P, "PACK_ROWS", 40)
+    data = [(None if i % 7 == 0 else f"s{i % 3}", None if i % 5 == 0 else MS + i % 4, i // 2, f"t{i}" if i % 4 else None)
+            for i in range(200)] + [("s1", MS, 1, "twice")] * 8
+    df = spark.createDataFrame(data, "symbol string, hour long, id int, text string").coalesce(1)
+    got = P.packed(df, ["symbol", "hour"]).cache()
+    assert got.columns == ["symbol", "hour", "rows"] and got.agg(F.max(F.size("rows")), F.min(F.size("rows"))).first()[:] == (3, 1)
+    assert got.count() < len(data)
+    back = got.select("symbol", "hour", F.inline("rows"))
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(data, key=repr)
+    assert P.packed(df.limit(0), ["symbol", "hour"]).count() == 0

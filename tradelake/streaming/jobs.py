@@ -21,8 +21,12 @@ from __future__ import annotations
 
 import threading
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradelake.functions import round_half_away, safe_div, xsum
 from tradelake.functions.expressions import DEFAULT_WHALE_THRESHOLD
@@ -41,6 +45,9 @@ FLUSH_SECONDS = 30
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _START = threading.Lock()
 
+# Rows and bytes that a task packs at once, rows of an hour in one packed row.
+PACK_ROWS, PACK_BYTES, CHUNK = 1 << 20, 64 << 20, 4096
+
 
 def frame_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Raw frames from text files (one JSON frame per line); arrival = now."""
@@ -178,21 +185,70 @@ def silver_stream(spark: SparkSession, path: str, watermark: str = "10 minutes",
     return r.load(path).withWatermark("traded_at", watermark)
 
 
-def whale_context_stream(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD) -> DataFrame:
+def packed(rows: DataFrame, by: list[str], name: str = "rows") -> DataFrame:
+    """``rows`` with those that are equal in ``by`` put together, as far as a task of a
+    micro-batch finds them: ``by`` and ``name``, an array of at most ``CHUNK`` rows.  No state."""
+    out = T.StructType([f for f in rows.schema if f.name in by]
+                       + [T.StructField(name, T.ArrayType(T.StructType([f for f in rows.schema if f.name not in by])))])
+    by, most, most_bytes, chunk = [f.name for f in out][:-1], PACK_ROWS, PACK_BYTES, CHUNK
+
+    def pack(batches):
+        table = pa.Table.from_batches(batches).combine_chunks()
+        key = np.zeros(len(table), np.int64)
+        for c in by:
+            code = pc.dictionary_encode(table.column(c), null_encoding="encode").combine_chunks()
+            key = key * max(1, len(code.dictionary)) + code.indices.to_numpy()
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        begins = np.flatnonzero(np.diff(key, prepend=-1))
+        turn = np.arange(len(key)) - np.repeat(begins, np.diff(np.append(begins, len(key))))
+        begins = np.flatnonzero(turn % chunk == 0)
+        rest = table.drop_columns(by).take(pa.array(order)).to_struct_array()
+        rest = pa.concat_arrays(rest.chunks) if isinstance(rest, pa.ChunkedArray) else rest
+        lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(key)), pa.int32()), rest)
+        heads = table.select(by).take(pa.array(order[begins])).combine_chunks()
+        for lo in range(0, len(begins), 256):
+            some = heads.slice(lo, 256)
+            yield pa.RecordBatch.from_arrays([*(some.column(c).combine_chunks() for c in by), lists.slice(lo, 256)], [*by, name])
+
+    def run(batches):
+        held, many, size = [], 0, 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                many, size = many + batch.num_rows, size + batch.nbytes
+            if many >= most or size >= most_bytes:
+                yield from pack(held)
+                held, many, size = [], 0, 0
+        if held:
+            yield from pack(held)
+
+    return rows.mapInArrow(run, out)
+
+
+def whale_context_stream(trades: DataFrame, threshold: float = DEFAULT_WHALE_THRESHOLD,
+                         columns: list[str] | None = None) -> DataFrame:
     """Whales of a clean trade stream (with a watermark on ``traded_at``) beside the
-    final totals of their hour.
+    final totals of their hour; ``columns``: those asked for, all if None.
 
     The hour's totals are an event-time aggregate, which comes out once when the
-    watermark passes the hour's end; whales wait for it in the join's state, which the
-    time bound on both sides clears.  So no whale is emitted with half an hour's totals,
-    and nothing has to be corrected later.  The join is an outer one: a whale whose
-    hour closed before it arrived has null totals.
+    watermark passes the hour's end; whales wait for it in the join's state, which that
+    end, a key of the join, clears on both sides.  So no whale is emitted with half an
+    hour's totals, and nothing has to be corrected later.  State is written and read a
+    row at a time, so a task's whales of an hour wait in one row, with the asked columns
+    only.  The join is an outer one: a whale whose hour closed before it arrived has
+    null totals, a late one of an open hour has the totals that count it.
     """
     whales = whale_base(trades, threshold)
+    own = whales.columns
+    wait = [c for c in own if columns is None or c in columns or c in ("symbol", "hour", "volume_usd")]
     hours = (trades.groupBy(F.col("symbol").alias("_symbol"), F.window("traded_at", "1 hour").alias("_w"))
              .agg(*context_aggs(threshold))
-             .withColumn("_close", F.window_time("_w")).withColumn("_hour", F.col("_w.start")).drop("_w"))
-    within = ((F.col("symbol") == F.col("_symbol")) & (F.col("hour") == F.col("_hour"))
-              & (F.col("_close") >= F.col("traded_at"))
-              & (F.col("_close") < F.col("traded_at") + F.expr("interval 1 hour")))
-    return share_of_hour(whales.join(hours, within, "leftOuter").drop("_symbol", "_hour", "_close"))
+             .withColumn("_close", F.window_time("_w")).drop("_w"))
+    close = F.col("hour") + F.expr("interval 1 hour") - F.expr("interval 1 microsecond")
+    both = (packed(whales.select(*wait), ["symbol", "hour"], "_whales")
+            .join(hours, (F.col("symbol") == F.col("_symbol")) & (close == F.col("_close")), "leftOuter")
+            .withColumn("_whale", F.explode("_whales")))
+    context = [c for c in hours.columns if c not in ("_symbol", "_close")]
+    out = share_of_hour(both.select(*(F.col(c) if c in ("symbol", "hour") else F.col("_whale")[c].alias(c) for c in wait), *context))
+    return out if columns is None else out.select(*columns)
